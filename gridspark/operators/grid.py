@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridspark.functions.text import canonical_text, clean_text, header_name
 from gridspark.model import SHEET, cell, not_empty
 from gridspark.operators.banding import (
     attach, band, contiguous_prefix, numbered, running, with_bands,
 )
+from gridspark.operators.settling import settle
 
 ROW = [*SHEET, "band", "row"]
 
@@ -28,13 +29,13 @@ def with_layout(df: DataFrame, layout: DataFrame) -> DataFrame:
 
 
 def sheet_rows(cells: DataFrame, layout: DataFrame, wanted: Column | None = None) -> DataFrame:
-    """One record per non-empty row: (workbook, sheet, band, row, cells MAP<col, cell>).
+    """One record per non-empty row: (workbook, sheet, band, row, cells MAP<col, cell>), settled.
 
     ``wanted`` prunes cells by layout columns before they are grouped. Cells are shuffled here,
-    on (sheet, band); the operators on row records keep to that partitioning.
+    once, on (sheet, band); the operators on row records keep to that partitioning.
     """
     bound = with_layout(banded(cells.filter(not_empty(F.col("raw")))), layout)
-    return pivot_cells(bound if wanted is None else bound.filter(wanted))
+    return settle(pivot_cells(bound if wanted is None else bound.filter(wanted)))
 
 
 def pivot_cells(cells: DataFrame, columns: Mapping[str, int] | None = None) -> DataFrame:
@@ -157,13 +158,19 @@ def carry_forward(df: DataFrame, keys: Sequence[str], levels: Mapping[str, Colum
 def ordinals(df: DataFrame, keys: Sequence[str], group: str, row: str = "row",
              group_order: str = "ordre_section", line_order: str = "ordre_ligne") -> DataFrame:
     """Order of first appearance of ``group`` within ``keys``, and line number within the group."""
-    starts = df.groupBy(*keys, group).agg(F.min(row).alias("_first"))
+    # One summary row per (group, band): its join key spreads a group that fills a whole sheet.
+    parts = settle(df.groupBy(*keys, group, "band").agg(F.min(row).alias("_first"), F.count("*").alias("_n")))
+    starts = parts.groupBy(*keys, group).agg(F.min("_first").alias("_first"))
     ranks = numbered(starts.withColumn("band", band("_first")), keys, "_first", group_order)
-    lines = numbered(df, [*keys, group], row, line_order)
-    # One row per (group, band): the join key spreads a group that fills a whole sheet.
-    placed = df.select(*keys, group, "band").distinct().join(
+    before = Window.partitionBy(*keys, group).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(
         ranks.select(*keys, group, group_order), [*keys, group])
-    return lines.join(placed, [*keys, group, "band"]).select(*df.columns, group_order, line_order)
+    inside = F.row_number().over(Window.partitionBy(*keys, group, "band").orderBy(row))
+    return (
+        df.withColumn("_inside", inside)
+        .join(placed.select(*keys, group, "band", "_before", group_order), [*keys, group, "band"])
+        .select(*df.columns, group_order, (F.col("_inside") + F.col("_before")).alias(line_order))
+    )
 
 
 def unpivot_measures(rows: DataFrame, measures: Column, keep: Sequence[str]) -> DataFrame:

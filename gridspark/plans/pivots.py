@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridspark.fixed import CONCESSION, DEFAULT_LOOKBACK, PIVOT_STAGING, ROW_LABELS_ANCHOR
 from gridspark.functions.numeric import to_measure
 from gridspark.functions.text import canonical_text, clean_text
-from gridspark.model import SHEET, issue
+from gridspark.model import SHEET, issue, not_empty
 from gridspark.operators.banding import band
 from gridspark.operators.blocks import (
     BLOCK, assign_zones, blank_label_stops, block_axis, block_rows, discover_blocks, is_grand_total,
@@ -15,6 +15,7 @@ from gridspark.operators.blocks import (
 )
 from gridspark.operators.grid import at, banded, unpivot_measures, until_total, with_layout
 from gridspark.operators.select import find_cells
+from gridspark.operators.settling import settle
 from gridspark.plans.common import Extraction, of_family, sheet_issues, union_all
 from gridspark.plans.routing import setting, setting_int, setting_list
 
@@ -28,7 +29,7 @@ def pivot_layout(routed: DataFrame, family: str) -> DataFrame:
     if family == CONCESSION:
         anchors = F.array(F.lit(ROW_LABELS_ANCHOR))
     return of_family(routed, family).select(
-        *SHEET, "last_row", "last_col",
+        *SHEET, "last_row",
         F.transform(anchors, canonical_text).alias("anchor_keys"),
         F.coalesce(setting_int("context_lookback"), F.lit(DEFAULT_LOOKBACK)).alias("lookback"),
         F.coalesce(setting("blank_label_policy"), F.lit("stop")).alias("blank_policy"),
@@ -36,7 +37,9 @@ def pivot_layout(routed: DataFrame, family: str) -> DataFrame:
 
 
 def _bound(cells: DataFrame, layout: DataFrame) -> DataFrame:
-    return with_layout(banded(cells), layout)
+    """Cells of the family's sheets with their band, shuffled once on (sheet, band)."""
+    filled = cells.filter(not_empty(F.col("raw")))
+    return settle(with_layout(banded(filled), layout.select(*SHEET, "last_row", "anchor_keys")))
 
 
 def _is_anchor():
@@ -45,9 +48,9 @@ def _is_anchor():
 
 def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: DataFrame) -> Extraction:
     """(workbook, row, col, the 11 columns of the staging table); totals and blanks are kept."""
-    layout = pivot_layout(routed, PIVOT_STAGING)
+    layout = settle(pivot_layout(routed, PIVOT_STAGING))
     bound = _bound(cells, layout)
-    found = discover_blocks(bound, _is_anchor()).join(layout, SHEET)
+    found = settle(discover_blocks(bound, _is_anchor()).join(layout, SHEET))
     blocks = resolve_filters(
         block_axis(bound, period_context(bound, found, F.col("lookback"))), page_filters)
     axis_key = canonical_text(F.col("axis"))
@@ -56,6 +59,7 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
         .when(F.startswith(axis_key, F.lit("ANNEE")), "ANNUEL"),
         "dimension": F.when(F.col("anchor") == "VILLE", "VILLE").otherwise("MARQUE"),
     })
+    blocks = settle(blocks)
     unnamed = blocks.filter(F.col("periodicite").isNull()).select(*issue(
         "axis", "unknown synthesis axis", row=F.col("header_row"), col=F.col("label_col")))
     without = layout.join(found.select(*SHEET).distinct(), SHEET, "left_anti")
@@ -65,7 +69,7 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
         sheet_issues(without, (F.lit(True), "anchors", "no pivot table anchors found")),
         sheet_issues(layout, (~policy.isin("stop", "keep_with_values"), "policy", "invalid blank_label_policy")),
     ])
-    lines = block_rows(bound, blocks, policy == "keep_with_values")
+    lines = settle(block_rows(bound, blocks, policy == "keep_with_values"))
     stops = blank_label_stops(
         cells, blocks.filter(policy == "stop"), lines).select(*issue(
             "blank_label", "empty label with cached measures", row=F.col("row"), col=F.col("label_col"),
@@ -107,12 +111,12 @@ def _block_footprint(cells: DataFrame, blocks: DataFrame, lines: DataFrame) -> D
 
 def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
     """(workbook, sheet, row, the 7 columns of the concession table), total rows included."""
-    layout = pivot_layout(routed, CONCESSION)
+    layout = settle(pivot_layout(routed, CONCESSION))
     bound = _bound(cells, layout)
     markers = find_cells(bound, lambda raw: F.startswith(F.upper(clean_text(raw)), F.lit(ZONE_PREFIX))).select(
         *SHEET, "row", "col", clean_text(F.col("raw")).alias("raw"))
-    found = discover_blocks(bound, _is_anchor()).join(layout, SHEET)
-    zoned = assign_zones(markers, found)
+    found = settle(discover_blocks(bound, _is_anchor()).join(layout, SHEET))
+    zoned = settle(assign_zones(settle(markers), found))
     header = lambda key: F.array_max(F.transform(
         F.filter("headers", lambda h: canonical_text(h["raw"]) == key), lambda h: h["col"]))
     blocks = period_context(bound, zoned, F.col("lookback")).withColumns({
@@ -121,7 +125,8 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
         "cols": F.struct(*[header(k).alias(k) for k in CONCESSION_HEADERS]),
         "last_row": F.coalesce(F.col("zone_end") - 1, F.col("last_row")),
     })
-    lines = block_rows(bound, blocks, F.lit(False))
+    blocks = settle(blocks)
+    lines = settle(block_rows(bound, blocks, F.lit(False)))
     total = is_grand_total(F.col("label"))
     kept = until_total(lines, BLOCK, total, inclusive=True)
 

@@ -12,6 +12,7 @@ from gridspark.functions.text import clean_text
 from gridspark.model import SHEET
 from gridspark.operators.banding import contiguous_prefix
 from gridspark.operators.grid import align_periods, at, banded, head, head_at, sheet_rows, with_layout
+from gridspark.operators.settling import settle
 from gridspark.plans.common import Extraction, of_family, sheet_issues, union_all
 from gridspark.plans.routing import setting_list
 
@@ -38,7 +39,7 @@ def variation_layout(routed: DataFrame) -> DataFrame:
 
 def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
     """(workbook, sheet, row, table_ord, axis_ord, ville, axe, valeur)."""
-    layout = variation_layout(routed)
+    layout = settle(variation_layout(routed))
     head_rows = F.array_distinct(F.transform("tables", lambda t: t["header_row"]))
     columns = lambda t: F.concat(F.array(t["city_col"], t["variation_col"]), t["value_cols"])
     data = F.exists("tables", lambda t: F.col("row").between(t["data_start_row"], t["data_end_row"])
@@ -52,7 +53,8 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
         t["skip_empty"].alias("skip_empty"),
         F.transform(t["value_cols"], lambda c: head_at(t["header_row"], c)["ts"].cast("date")).alias("periods"),
     ))).drop("head")
-    known = known.withColumn("aligned", align_periods(F.flatten(F.transform("tables", lambda t: t["periods"]))))
+    known = settle(known.withColumn(
+        "aligned", align_periods(F.flatten(F.transform("tables", lambda t: t["periods"])))))
     any_table = lambda test: F.exists("tables", test)
     faults = sheet_issues(
         known,
