@@ -47,22 +47,42 @@ def has_thousands(number_format: Column) -> Column:
     return primary.rlike(r"[0#?],(?:\s*[^0#?.,%]|\s*$)")
 
 
+def has_percent(number_format: Column) -> Column:
+    return F.coalesce(F.contains(number_format, F.lit("%")), F.lit(False))
+
+
+def times(measure: Column, when: Column, factor: str, factor_type: str) -> Column:
+    """The measure, multiplied exactly where a condition holds."""
+    num = measure["num"].cast(NUM_TYPE)
+    return _measure(F.when(when, num * F.lit(factor).cast(factor_type)).otherwise(num), measure["flag"])
+
+
 def scaled(measure: Column, number_format: Column) -> Column:
     """Divide by 1000 when the format does."""
-    thousandth = F.lit("0.001").cast("decimal(4,3)")
-    num = measure["num"].cast(NUM_TYPE)
-    return _measure(
-        F.when(has_thousands(number_format), num * thousandth).otherwise(num), measure["flag"]
-    )
+    return times(measure, has_thousands(number_format), "0.001", "decimal(4,3)")
 
 
 def percentage(measure: Column, number_format: Column) -> Column:
     """Multiply by 100 when the format shows a percent sign."""
-    num = measure["num"].cast(NUM_TYPE)
-    is_percent = F.coalesce(F.contains(number_format, F.lit("%")), F.lit(False))
-    return _measure(
-        F.when(is_percent, num * F.lit(100).cast("decimal(3,0)")).otherwise(num), measure["flag"]
-    )
+    return times(measure, has_percent(number_format), "100", "decimal(3,0)")
+
+
+def parsed_cell() -> Column:
+    """Cell columns as one struct, its number parsed and its format judged once."""
+    fmt = F.col("number_format")
+    return F.struct(
+        "raw", "kind", "ts", "number_format", to_measure(F.col("raw"), F.col("kind")).alias("measure"),
+        has_thousands(fmt).alias("thousands"), has_percent(fmt).alias("percent"))
+
+
+def amount_of(cell: Column) -> Column:
+    """Measure of a parsed cell, scaled as its format says."""
+    return times(cell["measure"], cell["thousands"], "0.001", "decimal(4,3)")
+
+
+def percentage_of(cell: Column) -> Column:
+    """Measure of a parsed cell, times 100 under a percent format."""
+    return times(cell["measure"], cell["percent"], "100", "decimal(3,0)")
 
 
 def two_decimals(measure: Column) -> Column:

@@ -34,17 +34,11 @@ ISSUES = (
 # A sheet of one workbook; the group key of every operator.
 SHEET = ["workbook", "sheet"]
 
-CELL_TYPE = "struct<raw:string,kind:string,ts:timestamp_ntz,number_format:string>"
-
 # Stages of an issue: an extraction or audit issue leaves no rows, a validation issue keeps
 # the candidate rows.
 EXTRACT, AUDIT, VALIDATE = "extract", "audit", "validate"
 
 
-def cell() -> Column:
-    return F.struct("raw", "kind", "ts", "number_format")
-
-
 def not_empty(raw: Column) -> Column:
     """The emptiness test: NULL or ``''``; white space is a value."""
     return raw.isNotNull() & (raw != "")

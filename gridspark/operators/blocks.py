@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridspark.fixed import GRAND_TOTAL, SEVERAL_ITEMS
-from gridspark.functions.numeric import is_integral, to_number
+from gridspark.functions.numeric import is_integral, parsed_cell, to_number
 from gridspark.functions.text import canonical_text
-from gridspark.model import SHEET, cell, not_empty
+from gridspark.model import SHEET, not_empty
 from gridspark.operators.banding import band, numbered, running
 from gridspark.operators.settling import settle
 
@@ -131,7 +131,7 @@ def block_rows(cells: DataFrame, blocks: DataFrame, keep_blank: Column,
         .join(spans, [*SHEET, "band", "col"])
         .filter(F.col("row").between(F.col("_from"), F.col("_to")))
         .groupBy(*SPAN, "band", "row")
-        .agg(F.map_from_entries(F.collect_list(F.struct("col", cell()))).alias("cells"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("col", parsed_cell()))).alias("cells"))
         .withColumn("label", F.element_at("cells", F.col("label_col"))["raw"])
         .filter(F.col("keep_blank") | F.col("label").isNotNull())
     )

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gridspark.functions.numeric import parsed_cell
 from gridspark.functions.text import canonical_text, clean_text, header_name
-from gridspark.model import SHEET, cell, not_empty
+from gridspark.model import SHEET, not_empty
 from gridspark.operators.banding import (
     attach, band, contiguous_prefix, numbered, running, with_bands,
 )
@@ -41,7 +42,7 @@ def sheet_rows(cells: DataFrame, layout: DataFrame, wanted: Column | None = None
 def pivot_cells(cells: DataFrame, columns: Mapping[str, int] | None = None) -> DataFrame:
     """Cells to one record per row: a map by column number, or named columns."""
     rows = cells.groupBy(*ROW).agg(
-        F.map_from_entries(F.collect_list(F.struct("col", cell()))).alias("cells"))
+        F.map_from_entries(F.collect_list(F.struct("col", parsed_cell()))).alias("cells"))
     if columns is None:
         return rows
     return rows.select(*ROW, *[at(F.col("cells"), F.lit(i))["raw"].alias(n) for n, i in columns.items()])
@@ -111,7 +112,7 @@ def header_columns(cells: DataFrame, headers: DataFrame) -> DataFrame:
         cells.filter(not_empty(F.col("raw")))
         .join(headers.withColumnRenamed("header_row", "row"), [*SHEET, "row"])
         .groupBy(*SHEET)
-        .agg(F.map_from_entries(F.collect_list(F.struct("col", cell()))).alias("cells"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("col", parsed_cell()))).alias("cells"))
     )
     return first.select(*SHEET, F.explode(header_cells(F.col("cells"))).alias("c")).select(
         *SHEET, F.col("c.key").alias("col"), header_name(F.col("c.value.raw")).alias("name"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridspark.fixed import CONCESSION, DEFAULT_LOOKBACK, PIVOT_STAGING, ROW_LABELS_ANCHOR
-from gridspark.functions.numeric import to_measure
 from gridspark.functions.text import canonical_text, clean_text
 from gridspark.model import SHEET, issue, not_empty
 from gridspark.operators.banding import band
@@ -91,7 +90,7 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
         F.when(~by_city, F.col("label")).alias("marque"),
         F.when(by_city, F.col("label")).otherwise(F.col("ville")).alias("ville"),
         clean_text(F.col("measure.raw")).alias("organisme"),
-        to_measure(F.col("cell.raw"), F.col("cell.kind")).alias("valeur"),
+        F.col("cell.measure").alias("valeur"),
     )
     footprint = _block_footprint(cells, blocks, lines)
     return Extraction(rows, union_all([faults, stops]), footprint)
@@ -150,8 +149,7 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
     joined = kept.join(spread, [*BLOCK, "band"])
 
     def measure(key: str):
-        c = at(F.col("cells"), F.col("cols")[key])
-        return to_measure(c["raw"], c["kind"])
+        return at(F.col("cells"), F.col("cols")[key])["measure"]
 
     rows = joined.select(
         *SHEET, "row", "header_row", "label_col",
