@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 from gridspark.fixed import ERROR_LITERALS, NOT_SIGNIFICANT
 from gridspark.functions.text import strip_space
 
+_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+
 # Parsed numbers; twelve integer digits, so that x100 and /1000 stay exact.
 NUM_TYPE = "decimal(30,18)"
 # Numbers after scaling: 17 integer digits, 21 decimals.
@@ -21,7 +23,8 @@ def _measure(num: Column, flag: Column) -> Column:
 def to_number(raw: Column, kind: Column | None = None) -> Column:
     """Decimal of a cell text, or NULL; ``1 234,50`` and ``1.5E3`` are numbers."""
     plain = F.translate(strip_space(raw), ",\xa0 _", ".")
-    num = plain.try_cast(NUM_TYPE)
+    # The pattern spares a failing cast, whose exception is dear, for every text cell.
+    num = F.when(plain.rlike(_NUMBER), plain.try_cast(NUM_TYPE))
     if kind is not None:
         truth = F.when(F.lower(raw) == "true", 1).when(F.lower(raw) == "false", 0)
         num = F.when(kind == "b", truth.cast(NUM_TYPE)).otherwise(num)
@@ -31,20 +34,24 @@ def to_number(raw: Column, kind: Column | None = None) -> Column:
 def to_measure(raw: Column, kind: Column | None = None) -> Column:
     """STRUCT<num, flag>: empty gives two NULLs, ``NS`` and error literals go to the flag,
     any other text is passed on in the flag, stripped."""
-    stripped = strip_space(raw)
     num = to_number(raw, kind)
+    return _measure(num, _flag(raw, num))
+
+
+def _flag(raw: Column, num: Column) -> Column:
+    """What stands in a measure instead of a number: sentinels in upper case, other text as it is."""
+    stripped = strip_space(raw)
     upper = F.upper(stripped)
-    sentinel = upper.isin(NOT_SIGNIFICANT, *ERROR_LITERALS)
-    flag = F.when(sentinel, upper).when((stripped != "") & num.isNull(), stripped)
-    return _measure(num, flag)
+    text = F.when(upper.isin(NOT_SIGNIFICANT, *ERROR_LITERALS), upper).when(stripped != "", stripped)
+    return F.when(num.isNull(), text)
 
 
 def has_thousands(number_format: Column) -> Column:
     """The first section of a number format scales by a thousand (``#,##0,``)."""
-    primary = F.split(F.coalesce(number_format, F.lit("")), ";")[0]
-    primary = F.regexp_replace(primary, r'"[^"]*"', "")
-    primary = F.regexp_replace(primary, r"\\.", "")
-    return primary.rlike(r"[0#?],(?:\s*[^0#?.,%]|\s*$)")
+    primary = F.substring_index(number_format, ";", 1)
+    primary = F.regexp_replace(F.regexp_replace(primary, r'"[^"]*"', ""), r"\\.", "")
+    scales = primary.rlike(r"[0#?],(?:\s*[^0#?.,%]|\s*$)")
+    return F.when(F.contains(number_format, F.lit(",")), scales).otherwise(False)
 
 
 def has_percent(number_format: Column) -> Column:
@@ -68,21 +75,25 @@ def percentage(measure: Column, number_format: Column) -> Column:
 
 
 def parsed_cell() -> Column:
-    """Cell columns as one struct, its number parsed and its format judged once."""
-    fmt = F.col("number_format")
-    return F.struct(
-        "raw", "kind", "ts", "number_format", to_measure(F.col("raw"), F.col("kind")).alias("measure"),
-        has_thousands(fmt).alias("thousands"), has_percent(fmt).alias("percent"))
+    """Cell columns as one struct, its number parsed once."""
+    number = to_number(F.col("raw"), F.col("kind"))
+    return F.struct("raw", "kind", "ts", "number_format", number.alias("num"))
+
+
+def measure_of(cell: Column) -> Column:
+    """Measure of a parsed cell, NULL when there is no cell."""
+    return F.when(cell.isNotNull(), _measure(cell["num"], _flag(cell["raw"], cell["num"])))
 
 
 def amount_of(cell: Column) -> Column:
     """Measure of a parsed cell, scaled as its format says."""
-    return times(cell["measure"], cell["thousands"], "0.001", "decimal(4,3)")
+    return F.when(cell.isNotNull(), scaled(_measure(cell["num"], _flag(cell["raw"], cell["num"])), cell["number_format"]))
 
 
 def percentage_of(cell: Column) -> Column:
     """Measure of a parsed cell, times 100 under a percent format."""
-    return times(cell["measure"], cell["percent"], "100", "decimal(3,0)")
+    return F.when(
+        cell.isNotNull(), percentage(_measure(cell["num"], _flag(cell["raw"], cell["num"])), cell["number_format"]))
 
 
 def two_decimals(measure: Column) -> Column:

@@ -12,6 +12,9 @@ from pyspark.sql import Column, functions as F
 # Characters that count as white space, for Java regular expressions.
 SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+# The same characters, for trimming.
+_SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # Blocks of the Basic Multilingual Plane whose letters are folded to plain ones.
 _FOLDED_BLOCKS = (
     (0x00A0, 0x024F),  # Latin-1 supplement, Latin extended A and B
@@ -57,7 +60,7 @@ def fold_accents(c: Column) -> Column:
 
 
 def strip_space(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def clean_text(c: Column) -> Column:
@@ -66,9 +69,10 @@ def clean_text(c: Column) -> Column:
 
 
 def canonical_text(c: Column) -> Column:
-    """Upper-case ASCII key: accents folded, other runs to ``_``."""
-    upper = F.upper(fold_accents(clean_text(c)))
-    return F.regexp_replace(F.regexp_replace(upper, "[^A-Z0-9]+", "_"), "^_|_$", "")
+    """Upper-case ASCII key: accents folded, other runs to ``_``; NULL to ``''``."""
+    folded = F.when(c.rlike(r"[^\x00-\x7f]"), fold_accents(c)).otherwise(c)
+    key = F.btrim(F.regexp_replace(F.upper(folded), "[^A-Z0-9]+", "_"), F.lit("_"))
+    return F.coalesce(key, F.lit(""))
 
 
 def contains_total(c: Column) -> Column:
@@ -88,9 +92,7 @@ def sheet_key(c: Column) -> Column:
 def slugify(c: Column) -> Column:
     """File-name part: ASCII, lower case, other runs to ``_``; what is not ASCII is dropped."""
     ascii_text = F.regexp_replace(fold_accents(c), r"[^\x00-\x7f]", "")
-    return F.regexp_replace(
-        F.regexp_replace(F.lower(ascii_text), "[^a-z0-9]+", "_"), "^_|_$", ""
-    )
+    return F.btrim(F.regexp_replace(F.lower(ascii_text), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def header_name(c: Column) -> Column:

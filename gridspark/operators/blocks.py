@@ -19,19 +19,24 @@ MEASURE_HEADERS = ("AIVAM", "SOFAC")
 CONTEXT_LABELS = ("ANNEE", "VILLE", "MOIS")
 
 
+def keyed(cells: DataFrame) -> DataFrame:
+    """Cells with the canonical text of text cells as ``key``, made once for all block operators."""
+    return cells.withColumn("key", F.when(F.col("kind") == "s", canonical_text(F.col("raw"))))
+
+
 def discover_blocks(cells: DataFrame, is_anchor: Column) -> DataFrame:
     """One row per block: (workbook, sheet, header_row, label_col, last_col, anchor, headers,
-    block_index). ``cells`` carries ``band``.
+    block_index). ``cells`` carries ``band`` and ``key``; ``is_anchor`` tests them.
 
     A block is an anchor and the contiguous non-empty cells to its right, ended by an empty cell
-    or another anchor; ``headers`` is ARRAY<STRUCT<col, raw>>. An anchor VILLE may also be a
+    or another anchor; ``headers`` is ARRAY<STRUCT<col, raw, key>>. An anchor VILLE may also be a
     filter: it counts only with a measure header. Runs are islands within one sheet row.
     """
     in_row = Window.partitionBy(*SHEET, "band", "row")
     by_col = in_row.orderBy("col")
     marked = (
         cells.filter(not_empty(F.col("raw")))
-        .withColumn("anchor_key", F.when(is_anchor, canonical_text(F.col("raw"))))
+        .withColumn("anchor_key", F.when(is_anchor, F.col("key")))
         .withColumn("has_anchor", F.max("anchor_key").over(in_row).isNotNull())
         .filter("has_anchor")
     )
@@ -43,12 +48,12 @@ def discover_blocks(cells: DataFrame, is_anchor: Column) -> DataFrame:
         .agg(
             F.min_by(F.struct("anchor_key", "raw"), "col").alias("anchor"),
             F.min("col").alias("label_col"), F.max("col").alias("last_col"),
-            F.array_sort(F.collect_list(F.struct("col", "raw"))).alias("run"),
+            F.array_sort(F.collect_list(F.struct("col", "raw", "key"))).alias("run"),
         )
         .filter((F.col("anchor.anchor_key").isNotNull()) & (F.col("last_col") > F.col("label_col")))
         .withColumn("headers", F.slice("run", F.lit(2), F.size("run")))
     )
-    measured = F.exists("headers", lambda h: canonical_text(h["raw"]).isin(*MEASURE_HEADERS))
+    measured = F.exists("headers", lambda h: F.coalesce(h["key"].isin(*MEASURE_HEADERS), F.lit(False)))
     blocks = runs.filter((F.col("anchor.anchor_key") != "VILLE") | measured).select(
         *SHEET, "band", F.col("row").alias("header_row"), "label_col", "last_col",
         F.col("anchor.anchor_key").alias("anchor"), "headers",
@@ -60,17 +65,17 @@ def period_context(cells: DataFrame, blocks: DataFrame, lookback: Column) -> Dat
     """``blocks`` with ``annee``, ``ville`` and ``mois``: the value right of the nearest such label
     above the header, leftmost first, within ``lookback`` rows and the block's columns.
 
-    Each label is offered to the headers up to ``lookback`` rows below it and met there by exact
-    position, so that no pair of block and label is tried in vain.
+    The cells above a header are a spine of exact positions, ``lookback`` rows by the width of the
+    block, and labels (by ``key``) join it there, so that no pair of block and label is tried in
+    vain.
     """
     by_col = Window.partitionBy(*SHEET, "band", "row").orderBy("col")
     right = F.when(F.lead("col").over(by_col) == F.col("col") + 1, F.lead("raw").over(by_col))
     labels = (
         cells.filter(not_empty(F.col("raw")))
         .withColumn("neighbour", right)
-        .withColumn("label", canonical_text(F.col("raw")))
-        .filter(F.col("label").isin(*CONTEXT_LABELS) & F.col("neighbour").isNotNull())
-        .select(*SHEET, "row", "col", "label", "neighbour")
+        .filter(F.col("key").isin(*CONTEXT_LABELS) & F.col("neighbour").isNotNull())
+        .select(*SHEET, "row", "col", F.col("key").alias("label"), "neighbour")
     )
     # The lookback is a small configured number; the offsets are its spine.
     sight = blocks.filter(lookback >= 1).select(
@@ -96,10 +101,10 @@ def period_context(cells: DataFrame, blocks: DataFrame, lookback: Column) -> Dat
 
 
 def block_axis(cells: DataFrame, blocks: DataFrame) -> DataFrame:
-    """``blocks`` with ``axis``: the topmost cell that is not blank in the label column, when it
+    """``blocks`` with ``axis`` (``cells`` carries ``key``): the topmost cell that is not blank in the label column, when it
     stands above the header. It is the same for all blocks of a column."""
     top = (
-        cells.filter(canonical_text(F.col("raw")) != "")
+        cells.filter(F.coalesce("key", "raw") != "")
         .groupBy(*SHEET, F.col("col").alias("label_col"))
         .agg(F.min_by("raw", "row").alias("_top"), F.min("row").alias("_top_row"))
     )

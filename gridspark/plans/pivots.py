@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridspark.fixed import CONCESSION, DEFAULT_LOOKBACK, PIVOT_STAGING, ROW_LABELS_ANCHOR
+from gridspark.functions.numeric import measure_of
 from gridspark.functions.text import canonical_text, clean_text
 from gridspark.model import SHEET, issue, not_empty
 from gridspark.operators.banding import band
 from gridspark.operators.blocks import (
     BLOCK, assign_zones, blank_label_stops, block_axis, block_rows, discover_blocks, is_grand_total,
-    period_context, resolve_filters,
+    keyed, period_context, resolve_filters,
 )
 from gridspark.operators.grid import at, banded, unpivot_measures, until_total, with_layout
 from gridspark.operators.select import find_cells
@@ -38,11 +39,11 @@ def pivot_layout(routed: DataFrame, family: str) -> DataFrame:
 def _bound(cells: DataFrame, layout: DataFrame) -> DataFrame:
     """Cells of the family's sheets with their band, shuffled once on (sheet, band)."""
     filled = cells.filter(not_empty(F.col("raw")))
-    return settle(with_layout(banded(filled), layout.select(*SHEET, "last_row", "anchor_keys")))
+    return settle(keyed(with_layout(banded(filled), layout.select(*SHEET, "last_row", "anchor_keys"))))
 
 
 def _is_anchor():
-    return F.array_contains("anchor_keys", canonical_text(F.col("raw")))
+    return F.array_contains("anchor_keys", F.col("key"))
 
 
 def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: DataFrame) -> Extraction:
@@ -90,7 +91,7 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
         F.when(~by_city, F.col("label")).alias("marque"),
         F.when(by_city, F.col("label")).otherwise(F.col("ville")).alias("ville"),
         clean_text(F.col("measure.raw")).alias("organisme"),
-        F.col("cell.measure").alias("valeur"),
+        measure_of(F.col("cell")).alias("valeur"),
     )
     footprint = _block_footprint(cells, blocks, lines)
     return Extraction(rows, union_all([faults, stops]), footprint)
@@ -117,7 +118,7 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
     found = settle(discover_blocks(bound, _is_anchor()).join(layout, SHEET))
     zoned = settle(assign_zones(settle(markers), found))
     header = lambda key: F.array_max(F.transform(
-        F.filter("headers", lambda h: canonical_text(h["raw"]) == key), lambda h: h["col"]))
+        F.filter("headers", lambda h: h["key"] == key), lambda h: h["col"]))
     blocks = period_context(bound, zoned, F.col("lookback")).withColumns({
         "groupe": F.substring(F.col("marker"), len(ZONE_PREFIX) + 1, 32767),
         "year": F.when(F.col("annee").rlike(r"^-?\d+$"), F.col("annee").try_cast("int")),
@@ -149,7 +150,7 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
     joined = kept.join(spread, [*BLOCK, "band"])
 
     def measure(key: str):
-        return at(F.col("cells"), F.col("cols")[key])["measure"]
+        return measure_of(at(F.col("cells"), F.col("cols")[key]))
 
     rows = joined.select(
         *SHEET, "row", "header_row", "label_col",

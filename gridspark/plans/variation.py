@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridspark.fixed import VARIATION
 from gridspark.functions.coords import col_index
 from gridspark.functions.dates import period_label
-from gridspark.functions.numeric import percentage_of, two_decimals
+from gridspark.functions.numeric import measure_of, percentage_of, two_decimals
 from gridspark.functions.text import clean_text
 from gridspark.model import SHEET
 from gridspark.operators.banding import contiguous_prefix
@@ -86,7 +86,7 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
     axes = F.array(
         F.struct(period_label(F.col("aligned.current")).alias("axe"), period_value("current").alias("valeur")),
         F.struct(period_label(F.col("aligned.previous")).alias("axe"), period_value("previous").alias("valeur")),
-        F.struct(F.lit("Variation").alias("axe"), two_decimals(change["measure"]).alias("valeur")),
+        F.struct(F.lit("Variation").alias("axe"), two_decimals(measure_of(change)).alias("valeur")),
     )
     rows = kept.select(
         *TABLE, "row", clean_text(at(F.col("cells"), F.col("t.city_col"))["raw"]).alias("ville"),

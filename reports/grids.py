@@ -11,7 +11,11 @@ from gridspark.plans.routing import flatten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one stored in fewer pieces than there are cores is spread over them, as each of its
+    rows becomes many cells."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def money(c: str | Column) -> Column:
