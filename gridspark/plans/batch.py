@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridspark import fixed
-from gridspark.model import SHEET, read_cells, write_cells
+from gridspark.model import SHEET, VALIDATE, issue, read_cells, write_cells
 from gridspark.plans import checks
 from gridspark.plans.activity import extract_activity
 from gridspark.plans.common import Extraction, union_all
@@ -77,7 +77,6 @@ def check_table(name: str, rows: DataFrame, routed: DataFrame) -> DataFrame:
     detailed = rows.join(flat, SHEET, "left_anti")
     required = F.array(*[F.lit(c) for c in fixed.HEADERS["details"]])
     lacking = detailed.filter(F.size(F.array_except(required, F.col("names"))) > 0)
-    from gridspark.model import VALIDATE, issue
     missing = lacking.select(*SHEET).distinct().select(
         *issue("schema", "details header requires all required fields", stage=VALIDATE))
     return union_all([TABLES[name].check(detailed), missing])
@@ -95,7 +94,7 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     parts = staged(unzip(discover(spark, input_path)), f"{work}/parts")
     write_cells(read_cells_of(parts), f"{work}/cells")
     cells = read_cells(spark, f"{work}/cells")
-    sheets = staged(read_sheets_of(parts, cells).drop("part"), f"{work}/sheets")
+    sheets = staged(read_sheets_of(parts, cells), f"{work}/sheets")
     report = staged(route_report(sheets, rules), f"{work}/report")
     routed = report.filter("outcome = 'routed'").select(
         *SHEET, "ordinal", "last_row", "last_col", "family", "structure")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridspark.functions.coords import a1_col
 from gridspark.functions.text import canonical_text
 from gridspark.model import SHEET
-from gridspark.sources.workbooks import _XML, read_sheets_of, rels_path, relationships
+from gridspark.sources.workbooks import XML_OPTIONS, named_sheets, relationships
 
 _PIVOT = (
     "location struct<_ref:string>, "
@@ -40,7 +40,7 @@ def _shared_value(tag: Column) -> Column:
 def cache_fields(parts: DataFrame) -> DataFrame:
     """(workbook, cache, fld, field, shared): canonical name and item texts of each cache field."""
     caches = parts.filter(F.col("part").like("%pivotCacheDefinition%.xml"))
-    names = F.from_xml("xml", _CACHE, _XML)["cacheFields"]["cacheField"]
+    names = F.from_xml("xml", _CACHE, XML_OPTIONS)["cacheFields"]["cacheField"]
     # The list of fields is the first element of that name's plural; each fragment is one field.
     fragments = F.regexp_extract_all("xml", F.lit(_FIELD), 1)
     fields = caches.select(
@@ -59,15 +59,14 @@ def page_filters(parts: DataFrame) -> DataFrame:
     """
     rels = relationships(parts)
     is_pivot = F.endswith("type", F.lit("/pivotTable"))
-    sheets = read_sheets_of(parts, parts.sparkSession.createDataFrame(
-        [], "workbook string, sheet string, row bigint, col int")).select(*SHEET, F.col("part").alias("source"))
+    sheets = named_sheets(parts).select(*SHEET, F.col("part").alias("source"))
     on_sheet = sheets.join(rels.filter(is_pivot), ["workbook", "source"]).select(
         *SHEET, "rel_ord", F.col("target").alias("pivot"))
     cache_of = (
         rels.filter(~is_pivot).groupBy("workbook", F.col("source").alias("pivot"))
         .agg(F.min_by("target", "rel_ord").alias("cache"))
     )
-    parsed = parts.select("workbook", F.col("part").alias("pivot"), F.from_xml("xml", _PIVOT, _XML).alias("p"))
+    parsed = parts.select("workbook", F.col("part").alias("pivot"), F.from_xml("xml", _PIVOT, XML_OPTIONS).alias("p"))
     pages = (
         on_sheet.join(parsed, ["workbook", "pivot"]).join(cache_of, ["workbook", "pivot"])
         .filter(F.col("p.location._ref").isNotNull())
@@ -90,5 +89,3 @@ def page_filters(parts: DataFrame) -> DataFrame:
     last = visible.groupBy(*key).agg(F.max("at").alias("at"))
     return visible.join(last, [*key, "at"]).select(*key, "item_ord", "item")
 
-
-__all__ = ["cache_fields", "page_filters", "rels_path"]

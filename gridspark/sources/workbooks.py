@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.functions.coords import a1_col, a1_row, col_index
+from gridspark.functions.coords import a1_col, a1_row
 from gridspark.model import SHEET
+from gridspark.operators.settling import settle
 
 SUFFIXES = (".xlsx", ".xlsm")
 CHUNK_BYTES = 4 << 20
@@ -44,7 +45,7 @@ BUILTIN_FORMATS = {
     45: "mm:ss", 46: "[h]:mm:ss", 47: "mmss.0", 48: "##0.0E+0", 49: "@",
 }
 
-_XML = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
 _TEXT = "t:string,r:array<struct<t:string>>"
 _CELL = (
     "struct<_r:string,_t:string,_s:int,v:string,f:struct<_VALUE:string,_t:string,_si:int>,"
@@ -169,15 +170,11 @@ def resolve_target(source: Column, target: Column) -> Column:
     return F.array_join(walked, "/")
 
 
-def rels_path(source: Column) -> Column:
-    return F.regexp_replace(source, "([^/]*)$", "_rels/$1.rels")
-
-
 def relationships(parts: DataFrame) -> DataFrame:
     """(workbook, source, rel_ord, id, type, target) of every relationship; targets resolved."""
     rels = parts.filter(F.endswith("part", F.lit(".rels"))).select(
         "workbook", F.regexp_replace("part", r"_rels/([^/]*)\.rels$", "$1").alias("source"),
-        F.posexplode(F.from_xml("xml", _RELS, _XML)["Relationship"]).alias("rel_ord", "r"))
+        F.posexplode(F.from_xml("xml", _RELS, XML_OPTIONS)["Relationship"]).alias("rel_ord", "r"))
     return rels.filter(F.col("r._Target").isNotNull()).select(
         "workbook", "source", "rel_ord", F.col("r._Id").alias("id"), F.col("r._Type").alias("type"),
         resolve_target(F.col("source"), F.col("r._Target")).alias("target"))
@@ -185,8 +182,8 @@ def relationships(parts: DataFrame) -> DataFrame:
 
 def _named_sheets(book: Column, rels: Column) -> Column:
     """ARRAY<STRUCT<ordinal, sheet, state, part>> from the workbook part and its relationships."""
-    parsed = F.from_xml(book, _BOOK, _XML)["sheets"]["sheet"]
-    links = F.from_xml(rels, _RELS, _XML)["Relationship"]
+    parsed = F.from_xml(book, _BOOK, XML_OPTIONS)["sheets"]["sheet"]
+    links = F.from_xml(rels, _RELS, XML_OPTIONS)["Relationship"]
     target = lambda s: F.get(F.filter(links, lambda r: r["_Id"] == s["_id"]), F.lit(0))["_Target"]
     return F.transform(parsed, lambda s, i: F.struct(
         i.alias("ordinal"), s["_name"].alias("sheet"), F.coalesce(s["_state"], F.lit("visible")).alias("state"),
@@ -195,12 +192,12 @@ def _named_sheets(book: Column, rels: Column) -> Column:
 
 def _formats(styles: Column) -> Column:
     """ARRAY of number formats by cell style."""
-    parsed = F.from_xml(styles, _STYLES, _XML)
+    parsed = F.from_xml(styles, _STYLES, XML_OPTIONS)
     custom = F.coalesce(parsed["numFmts"]["numFmt"], F.array().cast("array<struct<_numFmtId:int,_formatCode:string>>"))
-    builtin = F.from_json(F.lit(json.dumps(BUILTIN_FORMATS)), "map<int,string>")
+    builtin = F.from_json(F.lit(json.dumps(BUILTIN_FORMATS)), "map<string,string>")
     return F.transform(parsed["cellXfs"]["xf"], lambda xf: F.coalesce(
         F.get(F.filter(custom, lambda f: f["_numFmtId"] == xf["_numFmtId"]), F.lit(0))["_formatCode"],
-        F.element_at(builtin, xf["_numFmtId"]), F.lit("General")))
+        F.element_at(builtin, xf["_numFmtId"].cast("string")), F.lit("General")))
 
 
 def is_date_format(number_format: Column) -> Column:
@@ -220,7 +217,7 @@ def shared_strings(parts: DataFrame) -> DataFrame:
     chunks = parts.filter(F.lower("part").like("%sharedstrings.xml"))
     return chunks.select(
         "workbook", "items_before",
-        F.posexplode(F.from_xml("xml", _STRINGS, _XML)["si"]).alias("pos", "si"),
+        F.posexplode(F.from_xml("xml", _STRINGS, XML_OPTIONS)["si"]).alias("pos", "si"),
     ).select("workbook", (F.col("items_before") + F.col("pos")).alias("idx"), _rich(F.col("si")).alias("text"))
 
 
@@ -233,11 +230,11 @@ def _sheet_chunks(parts: DataFrame) -> DataFrame:
 
 def read_cells_of(parts: DataFrame) -> DataFrame:
     """``cells`` of all sheets."""
-    date1904 = F.lower(F.from_xml("book_xml", _BOOK, _XML)["workbookPr"]["_date1904"]).isin("1", "true")
+    date1904 = F.lower(F.from_xml("book_xml", _BOOK, XML_OPTIONS)["workbookPr"]["_date1904"]).isin("1", "true")
     lines = _sheet_chunks(parts).select(
         *SHEET, "items_before", F.coalesce(date1904, F.lit(False)).alias("date1904"),
         _formats(F.col("styles_xml")).alias("formats"),
-        F.posexplode(F.from_xml("xml", _ROWS, _XML)["sheetData"]["row"]).alias("row_pos", "line"))
+        F.posexplode(F.from_xml("xml", _ROWS, XML_OPTIONS)["sheetData"]["row"]).alias("row_pos", "line"))
     found = lines.select(
         *SHEET, "date1904", "formats",
         F.coalesce("line._r", F.col("items_before") + F.col("row_pos") + 1).alias("row"),
@@ -254,12 +251,13 @@ def read_cells_of(parts: DataFrame) -> DataFrame:
         .alias("idx"))
     joined = typed.join(shared_strings(parts), ["workbook", "idx"], "left")
 
-    number = v_ = F.col("v").try_cast("double")
+    number = F.col("v").try_cast("double")
     as_date = (F.col("t") == "n") & is_date_format(F.col("number_format")) & number.isNotNull()
-    days = v_ + F.when(~F.col("date1904") & (v_ > 0) & (v_ < 60), 1).otherwise(0)
+    # The 1900 calendar counts a 29 February that never was.
+    days = number + F.when(~F.col("date1904") & (number > 0) & (number < 60), 1).otherwise(0)
     epoch = F.when(F.col("date1904"), F.lit("1904-01-01")).otherwise(F.lit("1899-12-30")).cast("timestamp_ntz")
     moment = F.timestamp_add("SECOND", F.round(days * 86400).cast("bigint"), epoch)
-    has_day = (v_ < 0) | (v_ >= 1)
+    has_day = (number < 0) | (number >= 1)
     iso = F.replace(F.rtrim(F.lit("Z"), F.col("v")), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
     ts = F.when(as_date & has_day, moment).when(F.col("t") == "d", iso)
     plain_number = F.when(F.col("v").rlike("[.eE]"), number.cast("string")).otherwise(F.trim("v"))
@@ -280,24 +278,28 @@ def read_cells_of(parts: DataFrame) -> DataFrame:
     ).filter(F.col("raw").isNotNull() | F.col("formula").isNotNull())
 
 
-def read_sheets_of(parts: DataFrame, cells: DataFrame) -> DataFrame:
-    """``sheets`` with the extent of their cells."""
-    named = parts.filter("part = 'xl/workbook.xml'").select("workbook", F.col("xml").alias("book_xml")).join(
-        parts.filter("part = 'xl/_rels/workbook.xml.rels'").select("workbook", F.col("xml").alias("rels_xml")),
-        "workbook", "left")
-    listed = named.select("workbook", F.explode(_named_sheets(F.col("book_xml"), F.col("rels_xml"))).alias("s"))
-    extents = cells.groupBy(*SHEET).agg(F.max("row").alias("last_row"), F.max("col").alias("last_col"))
+def named_sheets(parts: DataFrame) -> DataFrame:
+    """(workbook, sheet, ordinal, sheet_state, part) of every sheet."""
+    text = lambda name: parts.filter(F.col("part") == name).select("workbook", F.col("xml").alias(name.split("/")[-1]))
+    both = text("xl/workbook.xml").join(text("xl/_rels/workbook.xml.rels"), "workbook", "left")
+    listed = both.select("workbook", F.explode(_named_sheets(
+        F.col("`workbook.xml`"), F.col("`workbook.xml.rels`"))).alias("s"))
     return listed.select(
         "workbook", F.col("s.sheet").alias("sheet"), F.col("s.ordinal").alias("ordinal"),
-        F.col("s.state").alias("sheet_state"), F.col("s.part").alias("part"),
-    ).join(extents, SHEET, "left").withColumns(
+        F.col("s.state").alias("sheet_state"), F.col("s.part").alias("part"))
+
+
+def read_sheets_of(parts: DataFrame, cells: DataFrame) -> DataFrame:
+    """``sheets`` with the extent of their cells; an empty sheet is one cell large."""
+    extents = cells.groupBy(*SHEET).agg(F.max("row").alias("last_row"), F.max("col").alias("last_col"))
+    return named_sheets(parts).drop("part").join(extents, SHEET, "left").withColumns(
         {"last_row": F.coalesce("last_row", F.lit(1).cast("bigint")), "last_col": F.coalesce("last_col", F.lit(1))})
 
 
 def read_merged_of(parts: DataFrame) -> DataFrame:
     """``merged`` of all sheets; a single cell counts as a range."""
     refs = _sheet_chunks(parts).select(
-        *SHEET, F.explode(F.from_xml("xml", _MERGES, _XML)["mergeCells"]["mergeCell"]).alias("m"))
+        *SHEET, F.explode(F.from_xml("xml", _MERGES, XML_OPTIONS)["mergeCells"]["mergeCell"]).alias("m"))
     return refs.select(*SHEET, *range_edges(F.col("m._ref")))
 
 
@@ -310,9 +312,7 @@ def range_edges(ref: Column) -> list[Column]:
 
 def ingest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, sheets, merged) of the workbooks of :func:`discover`."""
-    parts = unzip(files)
+    parts = settle(unzip(files))
     cells = read_cells_of(parts)
-    return cells, read_sheets_of(parts, cells).drop("part"), read_merged_of(parts)
-
+    return cells, read_sheets_of(parts, cells), read_merged_of(parts)
 
-__all__ = ["col_index", "discover", "ingest", "unzip"]
