@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridspark import fixed
 from gridspark.model import SHEET
+from gridspark.operators.settling import settle
 from gridspark.plans.activity import extract_activity
 from gridspark.plans.competitor import extract_quarterly, extract_staging, extract_summary
 from gridspark.plans.details import as_table, extract_details
@@ -44,7 +45,7 @@ def flat_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat(spark: SparkSession, sf_dir: str, structure: dict) -> DataFrame:
-    cells = flat_grid(spark, sf_dir)
+    cells = settle(flat_grid(spark, sf_dir))
     rows = extract_details(cells, routed(cells, fixed.DETAILS, structure)).rows
     names = ("marque", "nombre", "ville", "mois", "annee", "source")
     return as_table(rows, names).select(
@@ -120,7 +121,7 @@ def activity_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity(spark, sf_dir):
-    cells = activity_grid(spark, sf_dir)
+    cells = settle(activity_grid(spark, sf_dir))
     rows = extract_activity(cells, routed(cells, fixed.ACTIVITY, ACTIVITY_LAYOUT)).rows
     return rows.select(
         "organisme", F.col("date_reporting").cast("string").alias("date_reporting"), "section", "type_pret", "categorie",
@@ -222,7 +223,7 @@ def summary_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark, sf_dir):
-    cells = summary_grid(spark, sf_dir)
+    cells = settle(summary_grid(spark, sf_dir))
     rows = extract_summary(cells, routed(cells, fixed.SUMMARY, SUMMARY_LAYOUT)).rows
     return rows.select(
         "sheet", F.col("date_reporting").cast("string").alias("date_reporting"), "section", "organisme", "categorie",
@@ -278,7 +279,7 @@ def quarterly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarterly(spark, sf_dir):
-    cells = quarterly_grid(spark, sf_dir)
+    cells = settle(quarterly_grid(spark, sf_dir))
     rows = extract_quarterly(cells, routed(cells, fixed.QUARTERLY, QUARTERLY_LAYOUT)).rows
     return rows.select(
         "sheet", F.col("date_reporting").cast("string").alias("date_reporting"), "section", "organisme", "categorie", "annee",
@@ -325,7 +326,7 @@ def staging_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     for i, f in enumerate(FLAGS):
         heads += [text(11, 5 + 3 * i, f"flag {f} "), dated(13, 5 + 3 * i, "2026-03-01"), text(13, 6 + 3 * i, "prix")]
     sheets = facts.select(F.lit("staging.xlsx").alias("workbook"), sheet.alias("sheet")).distinct()
-    cells = data.unionByName(lay(sheets, "staging.xlsx", F.col("sheet"), heads)).distinct()
+    cells = settle(data.unionByName(lay(sheets, "staging.xlsx", F.col("sheet"), heads)).distinct())
     ranges = F.array(*[
         F.struct(F.lit(11).cast("bigint").alias("min_row"), F.lit(11).cast("bigint").alias("max_row"),
                  F.lit(a).alias("min_col"), F.lit(b).alias("max_col"))
@@ -391,7 +392,7 @@ def penetration_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def penetration(spark, sf_dir):
-    cells = penetration_grid(spark, sf_dir)
+    cells = settle(penetration_grid(spark, sf_dir))
     rows = extract_penetration(cells, routed(cells, fixed.PENETRATION, PENETRATION_LAYOUT)).rows
     return rows.select("sheet", "marque", "ville", "periodicite", "dimension", "axe", "sous_axe", num("valeur").alias("valeur"))
 
@@ -443,7 +444,7 @@ def concession_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concession(spark, sf_dir):
-    cells = concession_grid(spark, sf_dir)
+    cells = settle(concession_grid(spark, sf_dir))
     rows = extract_concession(cells, routed(cells, fixed.CONCESSION, {"context_lookback": 8})).rows
     return rows.select(
         "sheet", "groupe_concessionnaire", "annee", "marque", num("aivam").alias("aivam"), num("sofac").alias("sofac"),
@@ -500,7 +501,7 @@ def pivot_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_staging(spark, sf_dir):
-    cells = pivot_grid(spark, sf_dir)
+    cells = settle(pivot_grid(spark, sf_dir))
     rows = extract_pivot_staging(
         cells, routed(cells, fixed.PIVOT_STAGING, PIVOT_LAYOUT), pivot_filters(spark, sf_dir)).rows
     return rows.select(
@@ -559,7 +560,7 @@ def variation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variation(spark, sf_dir):
-    cells = variation_grid(spark, sf_dir)
+    cells = settle(variation_grid(spark, sf_dir))
     rows = extract_variation(cells, routed(cells, fixed.VARIATION, VARIATION_LAYOUT)).rows
     return rows.select("sheet", "ville", "axe", num("valeur").alias("valeur"))
 

@@ -36,7 +36,7 @@ SELECT sheet, row, col, CASE WHEN col = 3 THEN o_orderstatus END AS status FROM
 
 
 def cell_at(spark, sf_dir):
-    cells = flat_grid(spark, sf_dir)
+    cells = B.settle(flat_grid(spark, sf_dir))
     return S.cell_at(cells, "$F4").select("sheet", "raw").unionByName(S.cell_at(cells, "E3").select("sheet", "raw"))
 
 
@@ -83,7 +83,7 @@ def header_row(spark, sf_dir):
 
 
 def header_columns(spark, sf_dir):
-    cells = flat_grid(spark, sf_dir)
+    cells = B.settle(flat_grid(spark, sf_dir))
     return G.header_columns(cells, G.header_row(cells)).select("sheet", "col", "name")
 
 
@@ -254,7 +254,7 @@ def _title_grid(spark, sf_dir):
 
 def report_titles(spark, sf_dir):
     """Reporting date and years from the title area."""
-    cells = _title_grid(spark, sf_dir)
+    cells = B.settle(_title_grid(spark, sf_dir))
     structure = {k: v for k, v in ACTIVITY_LAYOUT.items() if k != "year_cells"}
     layout = activity_layout(routed(cells, fixed.ACTIVITY, structure))
     rows = G.sheet_rows(cells, layout)
@@ -276,7 +276,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS sheet,
 
 
 def _blocks(spark, sf_dir):
-    cells = pivot_grid(spark, sf_dir)
+    cells = B.settle(pivot_grid(spark, sf_dir))
     layout = pivot_layout(routed(cells, fixed.PIVOT_STAGING, PIVOT_LAYOUT), fixed.PIVOT_STAGING)
     bound = B.settle(B.keyed(G.with_layout(G.banded(cells), layout.select(*SHEET, "last_row", "anchor_keys"))))
     found = B.discover_blocks(bound, F.array_contains("anchor_keys", F.col("key")))
@@ -336,7 +336,7 @@ UNION ALL SELECT 'c' || o_custkey, CAST(1 + 5 * (y - 1995) AS INTEGER), row, pr,
 
 
 def assign_zones(spark, sf_dir):
-    cells = concession_grid(spark, sf_dir)
+    cells = B.settle(concession_grid(spark, sf_dir))
     layout = pivot_layout(routed(cells, fixed.CONCESSION, {}), fixed.CONCESSION)
     bound = B.settle(B.keyed(G.with_layout(G.banded(cells), layout.select(*SHEET, "last_row", "anchor_keys"))))
     found = B.settle(B.discover_blocks(bound, F.array_contains("anchor_keys", F.col("key"))))
