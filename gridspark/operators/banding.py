@@ -42,6 +42,17 @@ def attach(df: DataFrame, keys: Sequence[str],
     return df.join(summary, [*keys, "band"])
 
 
+def meet(rows: DataFrame, facts: DataFrame, keys: Sequence[str], order: str = "row", how: str = "inner") -> DataFrame:
+    """Join one row per group to the rows of the group, spread by row band; ``how`` is ``inner``
+    or ``left_anti``.
+
+    The groups meet their bands first, one line per band, and the rows meet those.
+    """
+    placed = rows.withColumn("_band", band(order))
+    spots = placed.select(*keys, "_band").distinct().join(facts, list(keys), how)
+    return placed.join(spots, [*keys, "_band"]).drop("_band")
+
+
 def running(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], *,
             latest: Mapping[str, Column] | None = None,
             counted: Mapping[str, Column] | None = None) -> DataFrame:

@@ -161,12 +161,10 @@ def blank_label_stops(cells: DataFrame, blocks: DataFrame, rows: DataFrame) -> D
     """Blocks that ended at an empty label although the row below still holds measures."""
     last = rows.groupBy(*BLOCK).agg(F.max("row").alias("_end"))
     below = blocks.join(last, BLOCK, "left").select(
-        *BLOCK, "last_col", "last_row", (F.coalesce("_end", "header_row") + 1).alias("row"))
-    return (
-        cells.filter(not_empty(F.col("raw"))).join(below, [*SHEET, "row"])
-        .filter(F.col("col").between(F.col("label_col") + 1, F.col("last_col")) & (F.col("row") <= F.col("last_row")))
-        .select(*BLOCK, "row").distinct()
-    )
+        *BLOCK, "last_row", (F.coalesce("_end", "header_row") + 1).alias("row"),
+        F.explode(F.sequence(F.col("label_col") + 1, F.col("last_col"))).alias("col"))
+    measures = cells.filter(not_empty(F.col("raw"))).select(*SHEET, "row", "col")
+    return below.filter("row <= last_row").join(measures, [*SHEET, "row", "col"]).select(*BLOCK, "row").distinct()
 
 
 def is_grand_total(label: Column) -> Column:

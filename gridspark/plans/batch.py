@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridspark import fixed
 from gridspark.model import SHEET, VALIDATE, issue, read_cells, write_cells
+from gridspark.operators.banding import meet
 from gridspark.plans import checks
 from gridspark.plans.activity import extract_activity
 from gridspark.plans.common import Extraction, union_all
@@ -74,7 +75,7 @@ def check_table(name: str, rows: DataFrame, routed: DataFrame) -> DataFrame:
     if name != "details":
         return TABLES[name].check(rows)
     flat = routed.filter(F.coalesce(setting("layout"), F.lit("summary")) == "flat").select(*SHEET)
-    detailed = rows.join(flat, SHEET, "left_anti")
+    detailed = meet(rows, flat, SHEET, how="left_anti")
     required = F.array(*[F.lit(c) for c in fixed.HEADERS["details"]])
     lacking = detailed.filter(F.size(F.array_except(required, F.col("names"))) > 0)
     missing = lacking.select(*SHEET).distinct().select(

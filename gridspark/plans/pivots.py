@@ -102,9 +102,9 @@ def _block_footprint(cells: DataFrame, blocks: DataFrame, lines: DataFrame) -> D
     searched = blocks.select(
         *SHEET, F.explode(F.sequence(
             F.greatest(F.lit(1).cast("bigint"), F.col("header_row") - F.greatest("lookback", F.lit(0))),
-            F.col("header_row"))).alias("row"), "label_col", "last_col")
-    above = cells.join(searched, [*SHEET, "row"]).filter(
-        F.col("col").between(F.col("label_col"), F.col("last_col"))).select(*SHEET, "row", "col")
+            F.col("header_row"))).alias("row"), "label_col", "last_col",
+    ).select(*SHEET, "row", F.explode(F.sequence("label_col", "last_col")).alias("col"))
+    above = cells.select(*SHEET, "row", "col").join(searched, [*SHEET, "row", "col"])
     below = lines.select(*SHEET, "row", F.explode(F.map_keys("cells")).alias("col"))
     return above.unionByName(below)
 

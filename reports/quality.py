@@ -234,7 +234,7 @@ def published_text(spark, sf_dir):
     orders, customer, counts, issues = _judged(spark, sf_dir)
     rows = orders.select(*SHEET, "row", F.col("o_orderpriority").alias("label"), to_measure(money("o_totalprice").cast("string")).alias("montant_mad"),
                          to_measure((money("o_totalprice") / 1000).cast("decimal(18,5)").cast("string")).alias("value"))
-    return published(rows, C.verdict(customer, counts, issues), ["label", "montant_mad", "value"], ["row"]).withColumnRenamed("_order0", "at")
+    return published(rows, C.verdict(customer, counts, issues), ["label", "montant_mad", "value"], ["row"]).drop("_row").withColumnRenamed("_order0", "at")
 
 
 _PUBLISHED_SQL = _FACTS + r"""
