@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from gridspark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from gridspark.llm.near_dedup import op10_near_dedup
 
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op10_near_dedup": (op10_near_dedup, None),
 }
