@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from gridspark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from gridspark.llm.near_dedup import op10_near_dedup
+from gridspark.llm.substring_dedup import op7_substring_dedup
 
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op7_substring_dedup": (op7_substring_dedup, None),
     "op10_near_dedup": (op10_near_dedup, None),
 }
