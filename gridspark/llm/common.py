@@ -53,3 +53,25 @@ def join_hot(rows: DataFrame, facts: DataFrame, key: str, size: str, total: int)
     """
     hot = F.broadcast(facts.where(F.col(size) >= max(2.0, total * HOT_SHARE)))
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(facts, key))
+
+
+def remainder(doc_id: Column, divisor: int) -> Column:
+    """CRC-32 of the id as text, modulo ``divisor``: the folds of the labelled rows."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % divisor
+
+
+class Adam:
+    """The usual adaptive gradient steps over a dict of numpy arrays."""
+
+    def __init__(self, weights: dict, rate: float):
+        self.weights, self.rate, self.t = weights, rate, 0
+        self.m = {k: 0 * w for k, w in weights.items()}
+        self.v = {k: 0 * w for k, w in weights.items()}
+
+    def step(self, gradients: dict) -> None:
+        self.t += 1
+        for k, g in gradients.items():
+            self.m[k] += 0.1 * (g - self.m[k])
+            self.v[k] += 0.001 * (g * g - self.v[k])
+            scale = self.rate * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
+            self.weights[k] -= scale * self.m[k] / (self.v[k] ** 0.5 + 1e-8)
