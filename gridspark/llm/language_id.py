@@ -123,7 +123,7 @@ def _sample_windows(batches):
 
 
 def train(rows: DataFrame) -> ByteNet | None:
-    """A network from (doc_id, text, lang); None if there is nothing to learn from.
+    """A network from the doc_id, text and lang of ``rows``; None if there is nothing to learn from.
 
     The sample takes the same number of rows of each language, as far as there are, in the order of a hash.
     """
@@ -155,7 +155,8 @@ def train(rows: DataFrame) -> ByteNet | None:
 
 
 def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
-    """``docs`` with lang_pred and score in front of its other columns."""
+    """``docs`` with lang_pred and score, in place of columns of these names."""
+    docs = docs.drop("lang_pred", "score")
     if net is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
 

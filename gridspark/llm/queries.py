@@ -5,10 +5,12 @@ from __future__ import annotations
 from gridspark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from gridspark.llm.language_id import op8_language_id
 from gridspark.llm.near_dedup import op10_near_dedup
+from gridspark.llm.quality import op3_quality_classifier
 from gridspark.llm.substring_dedup import op7_substring_dedup
 
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op3_quality_classifier": (op3_quality_classifier, None),
     "op7_substring_dedup": (op7_substring_dedup, None),
     "op8_language_id": (op8_language_id, None),
     "op10_near_dedup": (op10_near_dedup, None),

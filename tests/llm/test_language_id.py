@@ -34,7 +34,7 @@ def test_gradients_are_right():
         assert abs((up - down) / (2 * step) - grads[name][at]) < 1e-5
 
 
-SCHEMA = "doc_id long, text string, lang string, lang_pred_other string"
+SCHEMA = "doc_id long, text string, lang string, lang_pred string"
 
 
 def test_defined_cases(spark):
@@ -46,7 +46,7 @@ def test_defined_cases(spark):
     net = train(docs.where("doc_id < 200"))
     assert net.languages == ["de", "en"]
     out = predict(docs, net)
-    assert out.columns == [*docs.columns, "lang_pred", "score"]
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
     rows = out.collect()
     assert all(r.lang_pred == r.lang for r in rows if r.doc_id is not None and r.doc_id < 200)
     said = {(r.doc_id, r.text if r.text is None else r.text[:8]): (r.lang_pred, r.score) for r in rows}
