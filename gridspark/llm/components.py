@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import Run, join_hot
+from gridspark.llm.common import Run
 
 
-def _with_least(edges: DataFrame, run: Run, name: str) -> DataFrame:
-    """Edges (u, v) with ``m``, the least of u and all its neighbours. A node may hold most edges."""
-    least = run.write(
-        edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("degree")),
-        f"{name}-least",
-    )
-    return join_hot(edges, least, "u", "degree", edges.count())
+def _to_least(edges: DataFrame, run: Run, name: str) -> DataFrame:
+    """Edges (u, v, m) with the least of u and all its neighbours. A node may hold most edges: the minimum is
+    taken before the shuffle, and the join is one that Spark splits where it is skewed."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    joined = edges.join(run.write(least, name).hint("merge"), "u")
+    return joined.withColumn("m", F.least("u", "m"))
 
 
 def components(links: DataFrame, run: Run, name: str = "components") -> DataFrame:
@@ -27,15 +26,14 @@ def components(links: DataFrame, run: Run, name: str = "components") -> DataFram
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         f"{name}-0",
     )
-    before, turn = None, 0
+    mark, turn = None, 0
     while True:
+        before, turn = mark, turn + 1
         mark = edges.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before, turn = mark, turn + 1
-        both = run.write(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), f"{name}-{turn}-both")
-        large = _with_least(both, run, f"{name}-{turn}-large").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _to_least(both, run, f"{name}-{turn}-a").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = run.write(large.distinct(), f"{name}-{turn}-large")
-        small = _with_least(large, run, f"{name}-{turn}-small")
-        small = small.select("u", "v", "m").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        small = _to_least(large, run, f"{name}-{turn}-b").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = run.write(small.where("u <> v").distinct(), f"{name}-{turn}")

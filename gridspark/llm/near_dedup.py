@@ -33,7 +33,7 @@ from gridspark.llm.components import components
 from gridspark.llm.words import mix, slices, split_words, windows
 
 SHINGLE = 5
-TREES, DEPTH = 10, 6
+TREES, DEPTH = 12, 4
 #: Rows and shingles of a leaf at most.
 LEAF_ROWS, LEAF_SHINGLES = 256, 4_000_000
 PIVOTS = 16
@@ -252,7 +252,7 @@ def near_duplicates(
         )
         members = sets.join(clusters.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "sketch", "first.*")
         texts = docs.join(
-            members.withColumnRenamed("doc_id", "least"),
+            members.withColumnRenamed("doc_id", "least").hint("merge"),
             F.col("doc_id").eqNullSafe(F.col("least")) & (docs["mark"] == members["mark"]),
         ).select("set_id", "sketch", "text").dropDuplicates(["set_id"])
         return run.write(
@@ -262,21 +262,23 @@ def near_duplicates(
         )
 
     levels, large = _leaves(sets, run, trees, depth)
+    cut = not large.isEmpty()
+    if cut:
+        order = Window.partitionBy("node").orderBy(F.xxhash64("tree", "set_id"), "set_id")
+        pivots = run.write(large.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS), "pivots")
+        levels.append(_blocks(large, pivots))
     leaves = levels[0]
     for level in levels[1:]:
         leaves = leaves.unionByName(level)
     links = confirm(leaves, "leaves")
-    if not large.isEmpty():
-        order = Window.partitionBy("node").orderBy(F.xxhash64("tree", "set_id"), "set_id")
-        pivots = run.write(large.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS), "pivots")
-        links = links.unionByName(confirm(_blocks(large, pivots), "blocks"))
-        roots = components(links, run, "tied").withColumnRenamed("node", "set_id")
+    roots = components(links, run).withColumnRenamed("node", "set_id")
+    if cut:
         rooted = lambda df: df.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
         tied = rooted(pivots).select("node", "root").distinct()
         loose = run.write(rooted(large).join(tied, ["node", "root"], "left_anti"), "loose")
         if not loose.isEmpty():
             links = links.unionByName(confirm(_blocks(large, loose), "loose"))
-    roots = components(links, run).withColumnRenamed("node", "set_id")
+            roots = components(links, run, "all-components").withColumnRenamed("node", "set_id")
     rooted = run.write(
         sets.select("set_id", "least", "copies").join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")),
         "rooted",
