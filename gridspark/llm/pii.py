@@ -18,6 +18,8 @@ spans; equal ids with different texts are kept apart by a hash of the text. Extr
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +76,8 @@ def _with_matches(df: DataFrame, name: str, pattern: str, tried: Column) -> Data
         F.slice(pieces, 1, F.size(found)), F.concat(F.array(F.lit("")), F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0)))),
         lambda piece, before: (F.length(piece) + F.length(before)).cast("bigint"),
     )
-    df = df.withColumn(f"{found}_starts", F.when(F.size(found) > 0, _running(lengths)).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn(f"{found}_lengths", lengths)
+    df = df.withColumn(f"{found}_starts", F.when(F.size(found) > 0, _running(F.col(f"{found}_lengths"))).otherwise(F.array().cast("array<bigint>")))
     cut = F.transform(
         F.arrays_zip(
             F.col(found).alias("match"), F.transform(F.slice(pieces, 1, F.size(found)), lambda x: F.substring(x, -CONTEXT, CONTEXT)).alias("before"),
@@ -85,7 +88,8 @@ def _with_matches(df: DataFrame, name: str, pattern: str, tried: Column) -> Data
                            m["start"].alias("start"), (m["start"] + F.length(m["match"])).alias("end")),
     )
     return df.withColumn(name, F.when(F.size(found) > 0, cut).otherwise(F.array().cast(
-        "array<struct<match:string,before:string,after:string,start:bigint,end:bigint>>"))).drop(found, pieces, f"{found}_starts")
+        "array<struct<match:string,before:string,after:string,start:bigint,end:bigint>>"))).drop(
+        found, pieces, f"{found}_lengths", f"{found}_starts")
 
 
 def _digits(match: Column) -> Column:
@@ -114,17 +118,22 @@ def _valid(kind: str):
 
 
 def _words(context: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.regexp_replace(F.lower(context), "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")), " ")
+    lower = F.translate(context, string.ascii_uppercase, string.ascii_lowercase)
+    return F.split(F.trim(F.regexp_replace(F.regexp_replace(lower, "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")), " ")
 
 
-def _mention(kind: str, m: Column, instance: Column) -> Column:
-    before, after = _words(m["before"]), _words(m["after"])
-    last, second, following = F.element_at(before, -1), F.coalesce(F.try_element_at(before, F.lit(-2)), F.lit("^")), F.element_at(after, 1)
-    return F.struct(
-        F.lit(kind).alias("kind"), instance.alias("instance"), m["start"].alias("start"), m["end"].alias("end"),
-        F.when(last != "", F.array(F.concat(second, F.lit(" "), last, F.lit(" _")), F.concat(last, F.lit(" _ "), following)))
-        .otherwise(F.array().cast("array<string>")).alias("patterns"),
-    )
+def _mentions(kind: str, matches: Column, instance) -> Column:
+    """(kind, instance, start, end, patterns) of each match."""
+    beside = F.transform(matches, lambda m: F.struct(
+        instance(m).alias("instance"), m["start"].alias("start"), m["end"].alias("end"),
+        _words(m["before"]).alias("before"), _words(m["after"]).alias("after")))
+    last = lambda m: F.element_at(m["before"], -1)
+    second = lambda m: F.coalesce(F.try_element_at(m["before"], F.lit(-2)), F.lit("^"))
+    return F.transform(beside, lambda m: F.struct(
+        F.lit(kind).alias("kind"), m["instance"].alias("instance"), m["start"].alias("start"), m["end"].alias("end"),
+        F.when(last(m) != "", F.array(F.concat(second(m), F.lit(" "), last(m), F.lit(" _")),
+                                      F.concat(last(m), F.lit(" _ "), F.element_at(m["after"], 1))))
+        .otherwise(F.array().cast("array<string>")).alias("patterns")))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -141,11 +150,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
     tokens = F.filter("token", lambda m: F.contains(m["match"], F.lit("@")) | (F.length(_digits(m["match"])) >= 5))
     span = lambda kind: F.transform(kind, lambda m: F.struct(
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind")))
-    of = lambda kind: lambda m: _mention(kind, m, m["match"])
-    mentions = [F.transform(kind, of(kind)) for kind in KINDS]
+    mentions = [_mentions(kind, F.col(kind), lambda m: m["match"]) for kind in KINDS]
     return rows.select(
         "doc_id", "mark", F.array_sort(F.concat(*map(span, KINDS))).alias("base"),
-        F.concat(*mentions, F.transform(tokens, lambda m: _mention("", m, core(m)))).alias("mentions"),
+        F.concat(*mentions, _mentions("", tokens, core)).alias("mentions"),
     )
 
 
