@@ -278,10 +278,14 @@ def sequences(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("sequence_id").agg(whole.alias("ids"))
 
 
+def with_checks(pieces: DataFrame) -> DataFrame:
+    """Pieces with the CRC-32 of their ids in place of the ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` in sequences of 4096 tokens, every one with the table's mixture of sources."""
     from public_tokenizers import path
 
-    pieces = pack(read(spark, sf_dir, "documents"), Run(spark, "op6"), path("word_bpe_49k.json"))
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return with_checks(pack(read(spark, sf_dir, "documents"), Run(spark, "op6"), path("word_bpe_49k.json")))
