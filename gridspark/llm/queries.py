@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridspark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from gridspark.llm.graph_search import op5_nearest_neighbours
 from gridspark.llm.language_id import op8_language_id
 from gridspark.llm.near_dedup import op10_near_dedup
 from gridspark.llm.packing import op6_packing
@@ -13,6 +14,7 @@ from gridspark.llm.substring_dedup import op7_substring_dedup
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op3_quality_classifier": (op3_quality_classifier, None),
+    "op5_nearest_neighbours": (op5_nearest_neighbours, None),
     "op6_packing": (op6_packing, None),
     "op7_substring_dedup": (op7_substring_dedup, None),
     "op8_language_id": (op8_language_id, None),
