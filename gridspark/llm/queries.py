@@ -7,12 +7,14 @@ from gridspark.llm.graph_search import op5_nearest_neighbours
 from gridspark.llm.language_id import op8_language_id
 from gridspark.llm.near_dedup import op10_near_dedup
 from gridspark.llm.packing import op6_packing
+from gridspark.llm.pieces import op2_sampled_pieces
 from gridspark.llm.pii import op9_pii
 from gridspark.llm.quality import op3_quality_classifier
 from gridspark.llm.substring_dedup import op7_substring_dedup
 
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op2_sampled_pieces": (op2_sampled_pieces, None),
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op5_nearest_neighbours": (op5_nearest_neighbours, None),
     "op6_packing": (op6_packing, None),
