@@ -11,11 +11,13 @@ from gridspark.llm.pieces import op2_sampled_pieces
 from gridspark.llm.pii import op9_pii
 from gridspark.llm.quality import op3_quality_classifier
 from gridspark.llm.substring_dedup import op7_substring_dedup
+from gridspark.llm.url_filter import OP4_SQL, op4_url_filter
 
 REPORTS = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_sampled_pieces": (op2_sampled_pieces, None),
     "op3_quality_classifier": (op3_quality_classifier, None),
+    "op4_url_filter": (op4_url_filter, OP4_SQL),
     "op5_nearest_neighbours": (op5_nearest_neighbours, None),
     "op6_packing": (op6_packing, None),
     "op7_substring_dedup": (op7_substring_dedup, None),
