@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import Adam, read, remainder
@@ -138,11 +138,10 @@ def train(docs: DataFrame, labels: DataFrame) -> GatedBags | float:
     """A network from (doc_id, text) and (doc_id, quality), or a constant where only one label is known."""
     labels = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     usable = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES)
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        labels.join(usable.select("doc_id"), "doc_id", "left_semi").withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= SAMPLE_OF_LABEL).select("doc_id", "quality")
-    )
+    known = labels.join(usable.select("doc_id"), "doc_id", "left_semi")
+    # A sort with a limit keeps no more than the sample in any task, however large a label is.
+    some = lambda label: known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_OF_LABEL)
+    ids = some(0).unionByName(some(1)).select("doc_id", "quality")
     # Two labels of at most SAMPLE_OF_LABEL rows each: a bounded broadcast keeps the texts in place.
     sample = usable.join(F.broadcast(ids), "doc_id").select("text", "quality").mapInArrow(_bags, "quality int, token binary").collect()
     wanted = np.array([r.quality for r in sample], np.float32)
