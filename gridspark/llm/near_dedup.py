@@ -137,7 +137,8 @@ def _sketches(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _clusters(need: int):
-    """Leaves to clusters: members that likely similar pairs tie together; single ones go."""
+    """Leaves to clusters: members that likely similar pairs tie together; single ones go, and clusters in which
+    everything was compared before (no row is ``new``)."""
 
     def run(batches):
         for leaf in _runs(batches, "leaf"):
@@ -146,9 +147,9 @@ def _clusters(need: int):
             for a, b in zip(*_alike(sketches, need)[:2], strict=True):
                 forest.join(int(a), int(b))
             roots = np.array([forest.root(i) for i in range(len(sketches))])
-            sets = np.array(leaf.column("set_id").to_pylist(), object)
+            sets, new = np.array(leaf.column("set_id").to_pylist(), object), leaf.column("new").to_numpy()
             for root, n in zip(*np.unique(roots, return_counts=True), strict=True):
-                if n > 1:
+                if n > 1 and new[roots == root].any():
                     members = sorted(set(sets[roots == root]))
                     if len(members) > 1:
                         code = np.frombuffer(b"".join(members), np.uint64)
@@ -171,14 +172,15 @@ def _links(width: int, percent: int, need: int):
             for batch in cluster.select(["text"]).to_batches():
                 for part in slices(batch):
                     sets.extend(_shingle_sets(part.column("text"), width))
-            forest, found = _Forest(len(ids)), []
+            forest = _Forest(len(ids))
             for a, b in zip(*_alike(sketches, need)[:2], strict=True):
                 a, b = int(a), int(b)
                 if forest.root(a) != forest.root(b):
                     both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
                     if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both) and both:
                         forest.join(a, b)
-                        found.append((ids[a], ids[b]))
+            # Stars, not chains: few rounds join them to components.
+            found = [(ids[forest.root(i)], ids[i]) for i in range(len(ids)) if forest.root(i) != i]
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"]
@@ -188,7 +190,7 @@ def _links(width: int, percent: int, need: int):
 
 
 def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[DataFrame], DataFrame]:
-    """(leaf, set_id, sketch) of the leaves, one DataFrame per level; and the nodes still large."""
+    """(leaf, set_id, sketch, new) of the leaves, one DataFrame per level; and the nodes still large."""
     rows = sets.select("set_id", "n_shingles", "sketch", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     rows = rows.withColumn("tokens", F.expr(f"substring(tokens, tree * {depth * 4} + 1, {depth * 4})"))
     rows = rows.withColumn("node", F.xxhash64("tree", F.substring("tokens", 1, 4)))
@@ -198,7 +200,7 @@ def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[Dat
         nodes = run.write(nodes.where("rows > 1"), f"nodes-{level}")
         kept = run.write(join_hot(rows, nodes, "node", "rows", rows.count()), f"kept-{level}")
         small = (F.col("rows") <= LEAF_ROWS) & (F.col("shingles") <= LEAF_SHINGLES)
-        leaves.append(kept.where(small).select(F.col("node").alias("leaf"), "set_id", "sketch"))
+        leaves.append(kept.where(small).select(F.col("node").alias("leaf"), "set_id", "sketch", F.lit(True).alias("new")))
         rows = kept.where(~small)
         if level == depth - 1 or rows.isEmpty():
             break
@@ -207,12 +209,13 @@ def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[Dat
     return leaves, rows
 
 
-def _blocks(large: DataFrame, guests: DataFrame) -> DataFrame:
-    """Large nodes as leaves: blocks of some rows, each joined by the guests of its node."""
+def _blocks(large: DataFrame, guests: DataFrame, first: bool) -> DataFrame:
+    """Large nodes as leaves: blocks of some rows, each joined by the guests of its node. After the first time
+    only the guests are new."""
     n = F.greatest(F.ceil(F.col("rows") / (LEAF_ROWS // 2)), F.ceil(F.col("shingles") / (LEAF_SHINGLES // 2))).cast("int")
-    own = large.select("node", F.pmod(F.xxhash64("set_id", "tree"), n).cast("int").alias("block"), "set_id", "sketch")
-    came = guests.select("node", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "set_id", "sketch")
-    return own.unionByName(came).select(F.xxhash64("node", "block").alias("leaf"), "set_id", "sketch").distinct()
+    own = large.select("node", F.pmod(F.xxhash64("set_id", "tree"), n).cast("int").alias("block"), "set_id", "sketch", F.lit(first).alias("new"))
+    came = guests.select("node", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "set_id", "sketch", F.lit(True).alias("new"))
+    return own.unionByName(came).select(F.xxhash64("node", "block").alias("leaf"), "set_id", "sketch", "new")
 
 
 def near_duplicates(
@@ -243,20 +246,18 @@ def near_duplicates(
         "sets",
     )
 
-    def confirm(leaves: DataFrame, name: str) -> DataFrame:
-        """The links that the leaves hold, as a table."""
-        clusters = run.write(
+    def clusters(leaves: DataFrame, name: str) -> DataFrame:
+        """What is likely alike within a leaf."""
+        return run.write(
             leaves.repartition(parts, "leaf").sortWithinPartitions("leaf")
             .mapInArrow(_clusters(need), "cluster long, set_id binary").distinct(),
             f"{name}-clusters",
         )
-        members = sets.join(clusters.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "sketch", "first.*")
-        texts = docs.join(
-            members.withColumnRenamed("doc_id", "least").hint("merge"),
-            F.col("doc_id").eqNullSafe(F.col("least")) & (docs["mark"] == members["mark"]),
-        ).select("set_id", "sketch", "text").dropDuplicates(["set_id"])
+
+    def confirm(found: DataFrame, name: str) -> DataFrame:
+        """The links within clusters, as a table."""
         return run.write(
-            clusters.join(texts, "set_id").repartition(parts, "cluster").sortWithinPartitions("cluster")
+            found.join(texts, "set_id").repartition(parts, "cluster").sortWithinPartitions("cluster")
             .mapInArrow(_links(shingle, percent, need), "a binary, b binary"),
             f"{name}-links",
         )
@@ -266,19 +267,30 @@ def near_duplicates(
     if cut:
         order = Window.partitionBy("node").orderBy(F.xxhash64("tree", "set_id"), "set_id")
         pivots = run.write(large.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS), "pivots")
-        levels.append(_blocks(large, pivots))
+        levels.append(_blocks(large, pivots, True))
     leaves = levels[0]
     for level in levels[1:]:
         leaves = leaves.unionByName(level)
-    links = confirm(leaves, "leaves")
+    found = clusters(leaves, "leaves")
+    # The texts that may have to be compared, read and shuffled once; their number is not bounded.
+    members = sets.join(found.select("set_id").unionByName(large.select("set_id")).distinct(), "set_id", "left_semi")
+    members = members.select("set_id", "sketch", "first.*").withColumnRenamed("doc_id", "least")
+    texts = run.write(
+        docs.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least")) & (docs["mark"] == members["mark"]))
+        .select("set_id", "sketch", "text").dropDuplicates(["set_id"]),
+        "texts",
+    )
+    links = confirm(found, "leaves")
     roots = components(links, run).withColumnRenamed("node", "set_id")
     if cut:
         rooted = lambda df: df.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
         tied = rooted(pivots).select("node", "root").distinct()
         loose = run.write(rooted(large).join(tied, ["node", "root"], "left_anti"), "loose")
         if not loose.isEmpty():
-            links = links.unionByName(confirm(_blocks(large, loose), "loose"))
-            roots = components(links, run, "all-components").withColumnRenamed("node", "set_id")
+            more = confirm(clusters(_blocks(large, loose, False), "loose"), "loose")
+            if not more.isEmpty():
+                stars = roots.select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+                roots = components(stars.unionByName(more), run, "all-components").withColumnRenamed("node", "set_id")
     rooted = run.write(
         sets.select("set_id", "least", "copies").join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")),
         "rooted",

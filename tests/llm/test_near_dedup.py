@@ -117,3 +117,14 @@ def test_large_nodes_are_cut_into_blocks(spark, monkeypatch):
 def test_empty(spark, rows):
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"))
     assert report(got) == [(r[0], 0, r[0], True) for r in rows]
+
+
+def test_components_of_chains_and_hubs(spark):
+    from gridspark.llm.components import components
+
+    chain = [(i, i + 1) for i in range(1000, 1040)]
+    hub = [(5, i) for i in range(10, 200)]
+    rows = [*chain, *hub, (9, 199), (7, 7), (2000, 1990), (1990, 1980), (1980, 2000)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(rows, "a long, b long"), Run(spark, "test")).collect()}
+    wanted = {i: 1000 for i in range(1001, 1041)} | {i: 5 for i in [*range(10, 200), 9]} | {1990: 1980, 2000: 1980}
+    assert got == wanted
