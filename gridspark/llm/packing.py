@@ -20,6 +20,7 @@ are no pieces. Extra columns are ignored.
 from __future__ import annotations
 
 import os
+import unicodedata
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,59 +30,125 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import Run, read
-from gridspark.llm.words import ragged, slices
+from gridspark.llm.words import Words, ragged, slices
 
 WINDOW = 4096
 END = 2
 #: A source of at least this share of the bytes has a queue of its own.
 QUEUE_SHARE = 1 / 1024
 _UNIT = 1 << 16  # quanta are counted in this part of a token
+#: Control characters that are blanks to some and signs to others.
+_TAME = frozenset(map(chr, [*range(9), *range(14, 32), 127]))
+_SLICE_BYTES = 6 << 20
 _KNOWN_WORDS = 500_000  # words whose ids a worker remembers
 
 
+#: Byte classes of pre-tokens: blanks, letters (and all beyond ASCII), digits (each on its own), other signs.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[32, *range(9, 14)]], _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]], _CLASS[48:58] = 0, 1, 2
+
+
+def _pretokens(texts: list[bytes]) -> Words:
+    """Runs of one class in lower-case texts; every digit is a run."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    kind, edge = _CLASS[data], np.zeros(len(data) + 1, bool)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+    edge[offsets] = True
+    edge[1:-1] |= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    edges = np.flatnonzero(edge)
+    starts, ends = edges[:-1], edges[1:]
+    on = kind[starts] > 0
+    starts, ends = starts[on], ends[on]
+    return Words(data, starts, ends, np.searchsorted(starts, offsets))
+
+
 class WordIds:
-    """Token ids of words by a tokenizer that never looks across blanks. Words seen before are looked up."""
+    """Token ids of texts by a tokenizer that lower-cases, cuts texts to pre-tokens and encodes each on its own, the
+    last token of each marked as a word's end. Pre-tokens seen before are looked up. Texts that this module
+    cannot cut with certainty are cut at blanks only, and the tokenizer does the rest."""
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
-        self.index = {b"\n": 0}  # no word holds a blank; this one stands for the end of a document
+        self.index = {b"\n": 0}  # no word is this; it stands for the end of a document
         self.starts, self.sizes, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 1
         self.sizes[0], self.ids[0] = 1, END
 
-    def learn(self, words: set[bytes]) -> None:
+    def plain(self, text: str) -> bytes | None:
+        """The text in lower case, if its pre-tokens are the runs of one class: no apostrophe that may begin a
+        contraction, no control sign, nothing beyond ASCII but letters, no special token."""
+        if "'" in text or "Σ" in text or any(t in text for t in self.special):
+            return None
+        lower = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower()
+        signs = set(lower)
+        if not _TAME.isdisjoint(signs) or not (lower.isascii() or all(c <= "\x7f" or c.isalpha() for c in signs)):
+            return None
+        return lower.encode()
+
+    def learn(self, words) -> None:
+        """Remember words not seen before. Many are encoded as one text."""
         new = [w for w in words if w not in self.index]
-        for low in range(0, len(new), 20_000):
-            part = new[low : low + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                n, size, k = self.used, len(found.ids), len(self.index)
-                while n + size > len(self.ids):
-                    self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-                if k == len(self.starts):
-                    self.starts, self.sizes = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes))
-                self.ids[n : n + size] = found.ids
-                self.index[word], self.starts[k], self.sizes[k], self.used = k, n, size, n + size
+        for low in range(0, len(new), 5000):
+            part = new[low : low + 5000]
+            text = [w if isinstance(w, str) else w.decode() for w in part]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(text)], add_special_tokens=False)[0].ids, np.int64)
+            done = self.ends[ids] if len(ids) else np.zeros(0, bool)
+            if done.sum() == len(part) and done[-1] and all(isinstance(w, str) for w in part):
+                sizes = np.diff(np.concatenate(([-1], np.flatnonzero(done))))
+            else:  # a token's offset tells its word
+                found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
+                at = np.array([o[0] for o in found.offsets], np.int64)
+                sizes = np.bincount(np.searchsorted(np.cumsum([len(w) + 1 for w in text]), at, "right"), minlength=len(part))
+            n, k = self.used, len(self.index)
+            self.used += len(ids)
+            while self.used > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+            while k + len(part) > len(self.starts):
+                self.starts, self.sizes = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes))
+            self.ids[n : self.used] = ids
+            self.starts[k : k + len(part)], self.sizes[k : k + len(part)] = n + np.cumsum(sizes) - sizes, sizes
+            self.index.update(zip(part, range(k, k + len(part)), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and the number of ids of each text."""
         if len(self.index) > _KNOWN_WORDS:
             self.clear()
-        words, counts = [], []
-        for text in texts:
-            found = text.encode().split() if text else []
-            words += found
-            words.append(b"\n")
-            counts.append(len(found) + 1)
-        self.learn(set(words))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        plain = [self.plain(t) if t else b"" for t in texts]
+        fast = [i for i, t in enumerate(plain) if t is not None]
+        entries = [None] * len(texts)
+        # Words are told apart by 128-bit hashes; only distinct ones are looked up.
+        words = _pretokens([plain[i] for i in fast])
+        _, first, which = np.unique(words.hashes(0), return_index=True, return_inverse=True)
+        other = words.hashes(1)
+        if not np.array_equal(other[first][which], other):
+            raise ValueError("two words have one hash")
+        data = words.data.tobytes()
+        distinct = [data[a:b].decode() for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
+        self.learn(distinct)
+        known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[which]
+        for k, i in enumerate(fast):
+            entries[i] = known[words.first[k] : words.first[k + 1]]
+        # The other texts are cut at blanks, over which no token reaches.
+        slow = {i: texts[i].encode().split() for i, t in enumerate(plain) if t is None}
+        self.learn({w for found in slow.values() for w in found})
+        for i, found in slow.items():
+            entries[i] = np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))
+        end, parts = np.zeros(1, np.int64), []
+        for entry in entries:
+            parts += (entry, end)
+        at = np.concatenate(parts) if parts else end[:0]
+        counts = np.array([len(e) + 1 for e in entries], np.int64)
         sizes = self.sizes[at]
-        ends = np.cumsum(counts)
-        sums = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], ends))]
+        sums = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         return self.ids[ragged(self.starts[at], sizes)], np.diff(sums)
 
 
@@ -96,7 +163,7 @@ def _tokenize(content: str):
             coder = _LOADED[hash(content)] = WordIds(content)
         part, served = TaskContext.get().partitionId(), {}
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=_SLICE_BYTES):
                 ids, counts = coder.encode(rows.column("text").to_pylist())
                 queues, local = rows.column("queue").to_pylist(), []
                 for q, n in zip(queues, counts.tolist(), strict=True):

@@ -62,6 +62,19 @@ def test_pieces(spark):
     assert {s: len(i) // 4 for s, i in whole.items()} == {s: sum(n for _, n in p) for s, p in sequences.items()}
 
 
+def test_ids_of_unusual_texts():
+    """Letters, digits, signs and controls of all kinds, alone and in runs, against the tokenizer itself."""
+    rng, tokenizer = random.Random(6), Tokenizer.from_file(FILE)
+    coder = packing.WordIds(open(FILE).read())
+    bits = [*map(chr, range(1, 0x250)), *"ΣσςΟİıßẞŉ²½Ⅷ٣۴漢字かな한국ँंe\u0301a\u030a\u200d\u200b\u2028\u3000\ufeff😀👩🏽", "'s", "'LL", "don't", "The", " ", " ", "\n", "<|endoftext|>", "<|end"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    texts += ["".join(rng.choice("abcÉéßñ0123 .,!?'_-$&\n") for _ in range(80)) for _ in range(2000)] + ["é", "", None, "İstanbul", "ΟΔΟΣ", "a_b", "x" * 5000]
+    ids, counts = coder.encode(texts)
+    got = np.split(ids, np.cumsum(counts)[:-1])
+    for text, found in zip(texts, got, strict=True):
+        assert list(found) == tokenizer.encode(text or "", add_special_tokens=False).ids + [2], repr(text)
+
+
 def test_query_equals_direct_encoding(spark):
     tables = "/root/testdata/sf0.001"
     tokenizer = Tokenizer.from_file(FILE)
