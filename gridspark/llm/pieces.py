@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ BLANK = "▁"
 _OTHER = "\ud800"  # stands for a literal blank sign; no text can hold it
 _WORD = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_KNOWN_WORDS = 300_000  # words whose lattice a worker remembers
+_KNOWN_WORDS = 100_000  # words whose lattice a worker remembers
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ class Lattices:
             if word not in self.index:
                 by_length.setdefault(len(word), []).append(word)
         for length, group in by_length.items():
-            step = max(1, 200_000 // length)
+            step = max(1, 30_000 // length)
             for low in range(0, len(group), step):
                 self._filter(group[low : low + step], length)
 
@@ -217,10 +218,7 @@ class _Growing:
 _LOADED: dict[int, Lattices] = {}
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", seed: int = 0) -> DataFrame:
-    """``docs`` with ``ids``: a sampled segmentation of ``text``, drawn by the integer column ``key`` and ``seed``."""
-    docs = docs.drop("ids")
-
+def _encoder(vocabulary: Vocabulary, key: str, seed: int):
     def run(batches):
         name = hash(vocabulary)
         if name not in _LOADED:
@@ -234,13 +232,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", seed
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.select("*", F.array().cast("array<int>").alias("ids")).schema)
-
+    return run
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``encoded`` with ``decoded``: the text of ``ids``."""
-    encoded = encoded.drop("decoded")
 
+def _decoder(vocabulary: Vocabulary):
     def run(batches):
         data, starts, sizes = vocabulary.surface()
         for batch in batches:
@@ -254,7 +249,32 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 out += [text[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary()).cast(pa.string())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.select("*", F.lit("").alias("decoded")).schema)
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", seed: int = 0) -> DataFrame:
+    """``docs`` with ``ids``: a sampled segmentation of ``text``, drawn by the integer column ``key`` and ``seed``."""
+    docs = docs.drop("ids")
+    return docs.mapInArrow(_encoder(vocabulary, key, seed), docs.select("*", F.array().cast("array<int>").alias("ids")).schema)
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``encoded`` with ``decoded``: the text of ``ids``."""
+    encoded = encoded.drop("decoded")
+    return encoded.mapInArrow(_decoder(vocabulary), encoded.select("*", F.lit("").alias("decoded")).schema)
+
+
+def encode_checked(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", seed: int = 0) -> DataFrame:
+    """(key, ids, lossless): segmentations, each decoded again and compared with its text in the same task, so that
+    ids cross to the Python workers and back once."""
+
+    def run(batches):
+        for batch in _decoder(vocabulary)(_encoder(vocabulary, key, seed)(batches)):
+            same = pc.equal(batch.column("decoded"), batch.column("text").cast(pa.string()).fill_null(""))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("ids"), same], [key, "ids", "lossless"])
+
+    docs = docs.select(F.col(key).cast("long").alias(key), "text")
+    return docs.mapInArrow(run, f"`{key}` long, ids array<int>, lossless boolean")
 
 
 def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +282,5 @@ def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     vocabulary = Vocabulary.load(path("piece_bpe_32k.model"))
-    out = decode(encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                      (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    out = encode_checked(read(spark, sf_dir, "documents"), vocabulary)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
