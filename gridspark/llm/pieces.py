@@ -31,7 +31,7 @@ from gridspark.llm.words import mix, ragged, slices
 
 BLANK = "▁"
 _OTHER = "\ud800"  # stands for a literal blank sign; no text can hold it
-_WORD = re.compile(" *[^ ]+| +")
+_WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _KNOWN_WORDS = 100_000  # words whose lattice a worker remembers
 
@@ -80,16 +80,18 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.longest = max(map(len, vocabulary.pieces))
-        hashes = []
-        for piece in vocabulary.pieces:
+        # Every beginning of a piece, by its hash, with the piece that ends there or -1: substrings are grown
+        # letter by letter as long as some piece begins like them.
+        beginnings: dict[int, int] = {}
+        for number, piece in enumerate(vocabulary.pieces):
             h = np.zeros(1, np.uint64)
             for c in piece:
                 h = _hash_step(h, np.array([ord(c)], np.uint64))
-            hashes.append(h[0])
-        order = np.argsort(np.array(hashes, np.uint64))
-        self.hashes = np.array(hashes, np.uint64)[order]
-        self.piece_ids, self.weights = np.array(vocabulary.ids)[order], np.array(vocabulary.weights)[order]
+                beginnings.setdefault(int(h[0]), -1)
+            beginnings[int(h[0])] = number
+        self.hashes = np.array(sorted(beginnings), np.uint64)
+        self.numbers = np.array([beginnings[int(h)] for h in self.hashes])
+        self.piece_ids, self.weights = np.array(vocabulary.ids), np.array(vocabulary.weights)
         self.byte_weight = min(vocabulary.weights) - 1.0
         self.clear()
 
@@ -110,19 +112,27 @@ class Lattices:
                 self._filter(group[low : low + step], length)
 
     def _filter(self, group: list[str], length: int) -> None:
-        n, reach = len(group), min(self.longest, length)
+        n = len(group)
         chars = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).astype(np.uint64)
+        flat, start = chars.ravel(), np.arange(n * length)
+        at, running, hits = start % length, np.zeros(n * length, np.uint64), []
+        for k in range(length):
+            running = _hash_step(running, flat[start + k])
+            found = np.minimum(np.searchsorted(self.hashes, running), len(self.hashes) - 1)
+            on = self.hashes[found] == running
+            start, at, running, number = start[on], at[on], running[on], self.numbers[found[on]]
+            hit = number >= 0
+            hits.append((start[hit] // length, at[hit] + k + 1, number[hit]))
+            on = at + k + 1 < length
+            start, at, running = start[on], at[on], running[on]
+            if not len(start):
+                break
         # weight and piece of the substring of each length that ends at each position
+        reach = max(1, max((k + 1 for k, h in enumerate(hits) if len(h[0])), default=1))
         weight = np.full((n, length + 1, reach), -np.inf)
         piece = np.zeros((n, length + 1, reach), np.int64)
-        running = np.zeros((n, length), np.uint64)  # hash of the substring that starts at each position
-        for k in range(reach):
-            span = length - k
-            running = _hash_step(running[:, :span], chars[:, k : k + span])
-            at = np.minimum(np.searchsorted(self.hashes, running), len(self.hashes) - 1)
-            hit = self.hashes[at] == running
-            weight[:, k + 1 : k + 1 + span, k] = np.where(hit, self.weights[at], -np.inf)
-            piece[:, k + 1 : k + 1 + span, k] = self.piece_ids[at]
+        for k, (row, end, number) in enumerate(hits[:reach]):
+            weight[row, end, k], piece[row, end, k] = self.weights[number], self.piece_ids[number]
         bare = ~np.isfinite(weight[:, 1:, 0])
         size = 1 + (chars > 0x7F).astype(int) + (chars > 0x7FF) + (chars > 0xFFFF)
         weight[:, 1:, 0] = np.where(bare, size * self.byte_weight, weight[:, 1:, 0])
@@ -177,10 +187,9 @@ class Lattices:
             self.clear()
         words, counts = [], []
         for text in texts:
-            found = _WORD.findall(text.replace(BLANK, _OTHER)) if text else []
+            found = _WORD.findall(text.replace(BLANK, _OTHER).replace(" ", BLANK)) if text else []
             words += found
             counts.append(len(found))
-        words = [w.replace(" ", BLANK) for w in words]
         self.learn(set(words))
         word = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         counts = np.array(counts)
