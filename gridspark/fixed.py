@@ -32,6 +32,22 @@ MONTH_ABBREVIATIONS = (
     "juil", "août", "sept", "oct", "nov", "déc",
 )
 
+# What separates a month word from its year, and years of this century.
+MONTH_SEPARATOR = r"[\s./-]+"
+CENTURY_YEAR = r"20\d{2}"
+
+# What a number format shows literally, and the placeholder that scales by a thousand.
+FORMAT_LITERALS = (r'"[^"]*"', r"\\.")
+THOUSANDS_SCALE = r"[0#?],(?:\s*[^0#?.,%]|\s*$)"
+
+# A number in scientific notation.
+SCIENTIFIC = r"^[+-]?(?:\d+(?:\.\d*)?|\.\d+)[Ee][+-]?\d+$"
+
+# Published decimals by column name, the first match counts.
+PUBLISHED_PLACES = (
+    ("*_pct", 1), ("*_points", 1), ("dossiers_*", 0), ("*_mad", 0), ("*_mdh", 0), ("*_unites", 0),
+)
+
 # Families of layouts.
 ACTIVITY = "apsf_activity"
 SUMMARY = "apsf_competitor_summary"

@@ -54,7 +54,7 @@ def fold_accents(c: Column) -> Column:
     # One text literal keeps the plan small: a character and its expansion per line.
     pairs = F.split(F.lit("\n".join(a + b for a, b in longer)), "\n")
     expanded = F.aggregate(
-        pairs, folded, lambda text, p: F.replace(text, F.substring(p, 1, 1), F.substring(p, 2, 100)))
+        pairs, folded, lambda text, p: F.replace(text, F.substring(p, 1, 1), F.substr(p, F.lit(2))))
     needs_expansion = folded.rlike("[" + "".join(a for a, _ in longer) + "]")
     return F.when(needs_expansion, expanded).otherwise(folded)
 

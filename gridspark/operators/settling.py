@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """Shared folder for checkpoints: the one the cluster names in ``spark.checkpoint.dir``. Where
-    that is unset, a folder below the warehouse, or in local mode a temporary one."""
+    that is unset, a folder below the warehouse, or in local mode a temporary one.
+
+    A warehouse on the machines' own disks is no shared folder, so on a cluster it is refused."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="gridspark-")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex}"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    default = spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).toString()
+    if warehouse.startswith("file:") or "://" not in warehouse and default.startswith("file:"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_checkpoints-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

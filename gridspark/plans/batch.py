@@ -28,7 +28,9 @@ from gridspark.plans.variation import extract_variation
 from gridspark.sinks.reports import manifest, write_manifest, write_rejections
 from gridspark.sinks.tables import write_tables
 from gridspark.sources.pivots import page_filters
-from gridspark.sources.workbooks import discover, read_cells_of, read_merged_of, read_sheets_of, unzip
+from gridspark.sources.workbooks import (
+    discover, package_faults, read_cells_of, read_merged_of, read_sheets_of, readable, unzip,
+)
 
 
 @dataclass(frozen=True)
@@ -93,6 +95,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     started = datetime.now(timezone.utc).isoformat()
     work = stage_folder(spark, output)
     parts = staged(unzip(discover(spark, input_path)), f"{work}/parts")
+    broken = package_faults(parts)
+    parts = readable(parts, broken)
     write_cells(read_cells_of(parts), f"{work}/cells")
     cells = read_cells(spark, f"{work}/cells")
     sheets = staged(read_sheets_of(parts, cells), f"{work}/sheets")
@@ -104,7 +108,9 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
         "page_filters": staged(page_filters(parts), f"{work}/page_filters"),
     }
     results: dict[str, DataFrame] = {}
-    issues = [routing_issues(report)]
+    # A package that cannot be read has no sheets; its issue names the workbook alone.
+    unread = broken.withColumn("sheet", F.lit("")).select(*issue("package", F.col("fault")))
+    issues = [routing_issues(report), unread]
     for name, table in TABLES.items():
         extraction = table.extract(cells, routed, *[side[s] for s in table.side])
         rows = staged(extraction.rows, f"{work}/rows/{name}")

@@ -120,7 +120,7 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
     header = lambda key: F.array_max(F.transform(
         F.filter("headers", lambda h: h["key"] == key), lambda h: h["col"]))
     blocks = period_context(bound, zoned, F.col("lookback")).withColumns({
-        "groupe": F.substring(F.col("marker"), len(ZONE_PREFIX) + 1, 32767),
+        "groupe": F.substr(F.col("marker"), F.lit(len(ZONE_PREFIX) + 1)),
         "year": F.when(F.col("annee").rlike(r"^-?\d+$"), F.col("annee").try_cast("int")),
         "cols": F.struct(*[header(k).alias(k) for k in CONCESSION_HEADERS]),
         "last_row": F.coalesce(F.col("zone_end") - 1, F.col("last_row")),

@@ -131,7 +131,7 @@ def setting_map(prefix: str) -> Column:
     start = len(prefix) + 2
     return F.transform_keys(
         F.map_filter("structure", lambda k, _: F.startswith(k, F.lit(f"{prefix}."))),
-        lambda k, _: F.substring(k, start, 1000),
+        lambda k, _: F.substr(k, F.lit(start)),
     )
 
 

@@ -11,12 +11,14 @@ import io
 import json
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.functions.coords import a1_col, a1_row
+from gridspark.functions.numeric import plain_notation
 from gridspark.model import SHEET
 from gridspark.operators.settling import settle
 
@@ -25,7 +27,7 @@ CHUNK_BYTES = 4 << 20
 
 PARTS = (
     "workbook string, part string, chunk int, items_before bigint, xml string, "
-    "book_xml string, rels_xml string, styles_xml string"
+    "book_xml string, rels_xml string, styles_xml string, fault string"
 )
 
 # Number formats that the file format numbers but does not spell out.
@@ -129,33 +131,53 @@ def _chunks(stream, kind: str) -> Iterator[tuple[int, bytes, bytes, bytes]]:
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in PARTS.split(", ")]
-    text = lambda raw: raw.decode("utf-8-sig")
     for batch in batches:
         for workbook, content in zip(batch["workbook"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = [n for n in archive.namelist() if n.endswith((".xml", ".rels", ".bin")) and "/media/" not in n]
-                read = lambda n: text(archive.read(n)) if n in names else None
-                book, rels, styles = read("xl/workbook.xml"), read("xl/_rels/workbook.xml.rels"), read("xl/styles.xml")
-                for name in names:
-                    if name.endswith(".bin") or "pivotCacheRecords" in name:
-                        continue
-                    big = ("sheet" if re.search(r"worksheets/[^/]+\.xml$", name)
-                           else "strings" if name.lower().endswith("sharedstrings.xml") else None)
-                    if big is None:
-                        yield pd.DataFrame([[workbook, name, 0, 0, read(name), None, None, None]], columns=columns)
-                        continue
-                    extra = [book, rels, styles] if big == "sheet" else [None, None, None]
-                    with archive.open(name) as stream:
-                        for i, (seen, start, body, rest) in enumerate(_chunks(stream, big)):
-                            xml = text(start + body + rest)
-                            yield pd.DataFrame([[workbook, name, i, seen, xml, *extra]], columns=columns)
+            try:
+                for part in _parts_of(workbook, content):
+                    yield pd.DataFrame([[*part, None]], columns=columns)
+            except (zipfile.BadZipFile, zlib.error, EOFError, KeyError, RuntimeError, UnicodeDecodeError) as fault:
+                yield pd.DataFrame([[workbook, "", 0, 0, None, None, None, None, f"{type(fault).__name__}: {fault}"]], columns=columns)
+
+
+def _parts_of(workbook: str, content: bytes) -> Iterator[list]:
+    """The parts of one package, as rows of PARTS without the fault."""
+    text = lambda raw: raw.decode("utf-8-sig")
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        names = [n for n in archive.namelist() if n.endswith((".xml", ".rels", ".bin")) and "/media/" not in n]
+        read = lambda n: text(archive.read(n)) if n in names else None
+        book, rels, styles = read("xl/workbook.xml"), read("xl/_rels/workbook.xml.rels"), read("xl/styles.xml")
+        for name in names:
+            if name.endswith(".bin") or "pivotCacheRecords" in name:
+                continue
+            big = ("sheet" if re.search(r"worksheets/[^/]+\.xml$", name)
+                   else "strings" if name.lower().endswith("sharedstrings.xml") else None)
+            if big is None:
+                yield [workbook, name, 0, 0, read(name), None, None, None]
+                continue
+            extra = [book, rels, styles] if big == "sheet" else [None, None, None]
+            with archive.open(name) as stream:
+                for i, (seen, start, body, rest) in enumerate(_chunks(stream, big)):
+                    xml = text(start + body + rest)
+                    yield [workbook, name, i, seen, xml, *extra]
 
 
 def unzip(files: DataFrame) -> DataFrame:
-    """The XML parts of each workbook; sheets and shared strings in chunks of whole items."""
+    """The XML parts of each workbook; sheets and shared strings in chunks of whole items. A package that
+    cannot be read gives a row with its ``fault``, after the parts that could."""
     return files.mapInPandas(_unzip, PARTS)
 
 
+def package_faults(parts: DataFrame) -> DataFrame:
+    """(workbook, fault) of the packages that cannot be read."""
+    return parts.filter("fault is not null").select("workbook", "fault")
+
+
+def readable(parts: DataFrame, faults: DataFrame) -> DataFrame:
+    """The parts of the packages without a fault."""
+    return parts if faults.isEmpty() else parts.join(faults.select("workbook").distinct(), "workbook", "left_anti")
+
+
 # --- shred -------------------------------------------------------------------------------------
 
 def resolve_target(source: Column, target: Column) -> Column:
@@ -260,7 +282,7 @@ def read_cells_of(parts: DataFrame) -> DataFrame:
     has_day = (number < 0) | (number >= 1)
     iso = F.replace(F.rtrim(F.lit("Z"), F.col("v")), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
     ts = F.when(as_date & has_day, moment).when(F.col("t") == "d", iso)
-    plain_number = F.when(F.col("v").rlike("[.eE]"), number.cast("string")).otherwise(F.trim("v"))
+    plain_number = F.when(F.col("v").rlike("[.eE]"), plain_notation(number.cast("string"))).otherwise(F.trim("v"))
     raw = (
         F.when(ts.isNotNull(), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .when(as_date, F.date_format(moment, "HH:mm:ss"))
@@ -313,6 +335,7 @@ def range_edges(ref: Column) -> list[Column]:
 def ingest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, sheets, merged) of the workbooks of :func:`discover`."""
     parts = settle(unzip(files))
+    parts = readable(parts, package_faults(parts))
     cells = read_cells_of(parts)
     return cells, read_sheets_of(parts, cells), read_merged_of(parts)
 

@@ -363,3 +363,18 @@ def test_variation_rejects(spark):
     result = extract_variation(cells, routed_for(spark, cells, fixed.VARIATION, VARIATION))
     found = {(r.sheet, r.kind) for r in result.issues.collect()}
     assert ("text", "period") in found and ("three", "periods") in found
+
+
+def test_settings_faults_reject(spark):
+    cells = grid(spark, summary_grid())
+    def found(family, extract, **changes):
+        settings = {k: v for k, v in {**(SUMMARY if family == fixed.SUMMARY else QUARTERLY), **changes}.items() if v is not None}
+        result = extract(cells, routed_for(spark, cells, family, settings))
+        return [r.message for r in result.issues.filter("kind = 'settings' and policy = 'reject'").collect()]
+
+    assert found(fixed.SUMMARY, extract_summary) == []
+    assert found(fixed.SUMMARY, extract_summary, layout="sumary") == ["the layout is neither summary nor staging"]
+    assert found(fixed.SUMMARY, extract_summary, sections=None) == ["no sections are configured"]
+    assert found(fixed.SUMMARY, extract_summary, label_column=None) == ["no label column is configured"]
+    assert found(fixed.SUMMARY, extract_summary, category_blocks={"VEHICULES": ["E", "F"]}) == ["a category block must have 3 columns"]
+    assert found(fixed.QUARTERLY, extract_quarterly, sections=None) == ["no sections are configured"]

@@ -122,3 +122,14 @@ def test_batch(spark, folder, tmp_path):
     assert (manifest["success_count"], manifest["rejected_count"]) == (1, 1)
     rejected = json.loads(next(Path(tmp_path / "out/rejections").rglob("*.json")).read_text(encoding="utf-8"))
     assert rejected["sheet"] == "Types" and {r["kind"] for r in rejected["reasons"]} >= {"error_value"}
+
+
+def test_bad_packages_are_issues(spark, tmp_path):
+    good = pack({"Types": typed_sheet()}, STRINGS, {})
+    for name, content in (("good.xlsx", good), ("bad.xlsx", b"no package"), ("cut.xlsx", good[: len(good) // 2])):
+        (tmp_path / name).write_bytes(content)
+    parts = W.unzip(W.discover(spark, str(tmp_path)))
+    faults = W.package_faults(parts)
+    assert sorted(r.workbook for r in faults.collect()) == ["bad.xlsx", "cut.xlsx"]
+    cells, sheets, _ = W.ingest(W.discover(spark, str(tmp_path)))
+    assert {r.workbook for r in sheets.collect()} == {r.workbook for r in cells.collect()} == {"good.xlsx"}

@@ -138,3 +138,15 @@ def test_snapshots_replace_stale_sheets(spark, tmp_path):
 
 def test_layout_helpers(spark):
     assert sheets_of(spark, ["a"]).first().sheet_state == "visible"
+
+
+def test_plain_notation(spark):
+    shown = {"1.23456789E7": "12345678.9", "1.0E-4": "0.0001", "-1.5e+3": "-1500", "12.5": "12.5", "7": "7", "2E20": "200000000000000000000",
+             "-1.2345678901234567E-5": "-0.000012345678901234567", "0.0E0": "0", "1.0E0": "1", "text": "text", None: None, "12E1": "120"}
+    assert values(spark, list(shown), N.plain_notation) == list(shown.values())
+
+
+def test_published_places():
+    from gridspark.sinks.tables import decimal_places
+
+    assert [decimal_places(n) for n in ("evolution_pct", "dossiers_reference", "montant_mad", "dossiers_pct", "valeur", "ecart_points")] == [1, 0, 0, 1, None, 1]
