@@ -87,7 +87,9 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
     rows = long.select(
         "workbook", "sheet", "row", F.col("measure.col").alias("col"), F.col("block_index").cast("int").alias("bloc_index"),
         clean_text(F.col("axis")).alias("axe"), "periodicite",
-        F.col("annee").try_cast("int").alias("annee"), F.col("mois").alias("mois"), "dimension",
+        # A year is published as found: a number, or a text such as "(Tous)".
+        F.coalesce(F.col("annee").try_cast("bigint").cast("string"), clean_text(F.col("annee"))).alias("annee"),
+        F.col("mois").alias("mois"), "dimension",
         F.when(~by_city, F.col("label")).alias("marque"),
         F.when(by_city, F.col("label")).otherwise(F.col("ville")).alias("ville"),
         clean_text(F.col("measure.raw")).alias("organisme"),

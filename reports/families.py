@@ -521,7 +521,7 @@ m AS (SELECT o_custkey, y, string_agg(CAST(mo AS VARCHAR), ',' ORDER BY mo) AS m
 long AS (SELECT * FROM f UNPIVOT INCLUDE NULLS (valeur FOR st IN (f, o, p)))
 SELECT 'c' || long.o_custkey AS sheet, CAST(bloc_index AS INTEGER) AS bloc_index,
   CASE WHEN long.y % 2 = 0 THEN 'Mois M' ELSE 'ANNEE N-1' END AS axe,
-  CASE WHEN long.y % 2 = 0 THEN 'MENSUEL' ELSE 'ANNUEL' END AS periodicite, CAST(long.y AS INTEGER) AS annee,
+  CASE WHEN long.y % 2 = 0 THEN 'MENSUEL' ELSE 'ANNUEL' END AS periodicite, CAST(long.y AS VARCHAR) AS annee,
   CASE WHEN long.y < 1998 THEN months ELSE '3' END AS mois, 'MARQUE' AS dimension,
   CASE WHEN pr <> '5-LOW' THEN pr END AS marque, 'Rabat' AS ville, 'st ' || upper(st) AS organisme, CAST(valeur AS DOUBLE) AS valeur
 FROM long JOIN b ON b.o_custkey = long.o_custkey AND b.y = long.y JOIN m ON m.o_custkey = long.o_custkey AND m.y = long.y

@@ -103,16 +103,18 @@ SELECT 'part ' || (o_orderkey // 5000) AS sheet, 4 + o_orderkey % 5000 + CASE WH
 
 
 def table_rows(spark, sf_dir):
-    """Orders of a status from a start row on, up to the first missing key."""
-    orders = with_band(table(spark, sf_dir, "orders").withColumn("row", F.col("o_orderkey") + 1).filter("o_orderstatus <> 'P' or o_orderkey < 2"))
-    first = orders.groupBy("o_orderstatus").agg(F.min("row").alias("start"))
-    return G.table_rows(orders.join(first, "o_orderstatus"), ["o_orderstatus"], F.col("start")).select("o_orderstatus", "o_orderkey")
+    """All orders as sheets of 200 rows, each with an empty row somewhere: the rows above it."""
+    sheet, place = F.floor(F.col("o_orderkey") / 200), F.col("o_orderkey") % 200
+    orders = table(spark, sf_dir, "orders").withColumns({"sheet": sheet, "row": place + (place >= 20 + sheet % 150).cast("int")})
+    first = orders.groupBy("sheet").agg(F.min("row").alias("start"))
+    return G.table_rows(with_band(orders).join(first, "sheet"), ["sheet"], F.col("start")).select("sheet", "o_orderkey")
 
 
 _TABLE_ROWS_SQL = """
-WITH b AS (SELECT o_orderstatus, o_orderkey, min(o_orderkey) OVER (PARTITION BY o_orderstatus) AS f,
-             row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey < 2)
-SELECT o_orderstatus, o_orderkey FROM b WHERE o_orderkey - n = f - 1
+WITH o AS (SELECT o_orderkey // 200 AS sheet, o_orderkey, o_orderkey % 200 AS place FROM orders),
+b AS (SELECT sheet, o_orderkey, place + CASE WHEN place >= 20 + sheet % 150 THEN 1 ELSE 0 END AS row FROM o),
+n AS (SELECT sheet, o_orderkey, row, min(row) OVER (PARTITION BY sheet) AS f, row_number() OVER (PARTITION BY sheet ORDER BY row) AS n FROM b)
+SELECT sheet, o_orderkey FROM n WHERE row - n = f - 1
 """
 
 
@@ -211,16 +213,17 @@ FROM (SELECT DISTINCT l_partkey FROM lineitem), (VALUES ('A', 5), ('A', 6), ('N'
 
 
 def check_headers(spark, sf_dir):
-    """Customers whose orders, by key, start with the wanted statuses."""
+    """Customers whose statuses, by order, are exactly a wanted header."""
     orders = table(spark, sf_dir, "orders")
-    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    first = orders.withColumn("n", nth).filter("n <= 2").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("n", "o_orderstatus"))).alias("s"))
-    return first.select("o_custkey", G.check_headers(F.col("s.o_orderstatus"), ("F", "O")).cast("int").alias("ok"))
+    whole = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus")))["o_orderstatus"].alias("s"))
+    return whole.select("o_custkey", *[
+        G.check_headers(F.col("s"), tuple(wanted)).cast("int").alias(f"is_{wanted.lower()}") for wanted in ("FO", "OF", "FFOO", "O")])
 
 
 _HEADERS_SQL = """
-WITH n AS (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)
-SELECT o_custkey, CAST(string_agg(o_orderstatus, ',' ORDER BY n) = 'F,O' AS INTEGER) AS ok FROM n WHERE n <= 2 GROUP BY o_custkey
+WITH w AS (SELECT o_custkey, string_agg(o_orderstatus, '' ORDER BY o_orderkey) AS s FROM orders GROUP BY o_custkey)
+SELECT o_custkey, CAST(s = 'FO' AS INTEGER) AS is_fo, CAST(s = 'OF' AS INTEGER) AS is_of, CAST(s = 'FFOO' AS INTEGER) AS is_ffoo,
+  CAST(s = 'O' AS INTEGER) AS is_o FROM w
 """
 
 

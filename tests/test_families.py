@@ -298,13 +298,13 @@ def test_pivot_staging(spark):
     rows = collect(result.rows, "bloc_index", "row", "col")
     assert [(r.bloc_index, r.axe, r.periodicite, r.annee, r.mois, r.marque, r.ville, r.organisme, plain(r.valeur))
             for r in rows] == [
-        (1, "Mois M", "MENSUEL", 2026, "4", "Dacia", "Rabat", "AIVAM", 1),
-        (1, "Mois M", "MENSUEL", 2026, "4", "Dacia", "Rabat", "SOFAC", 2),
-        (1, "Mois M", "MENSUEL", 2026, "4", None, "Rabat", "AIVAM", 0),
-        (1, "Mois M", "MENSUEL", 2026, "4", None, "Rabat", "SOFAC", None),
-        (1, "Mois M", "MENSUEL", 2026, "4", "Total général", "Rabat", "AIVAM", 3),
-        (1, "Mois M", "MENSUEL", 2026, "4", "Total général", "Rabat", "SOFAC", None),
-        (2, "ANNEE N M", "ANNUEL", 2025, "1,2,3", "Fiat", None, "AIVAM", "NS")]
+        (1, "Mois M", "MENSUEL", "2026", "4", "Dacia", "Rabat", "AIVAM", 1),
+        (1, "Mois M", "MENSUEL", "2026", "4", "Dacia", "Rabat", "SOFAC", 2),
+        (1, "Mois M", "MENSUEL", "2026", "4", None, "Rabat", "AIVAM", 0),
+        (1, "Mois M", "MENSUEL", "2026", "4", None, "Rabat", "SOFAC", None),
+        (1, "Mois M", "MENSUEL", "2026", "4", "Total général", "Rabat", "AIVAM", 3),
+        (1, "Mois M", "MENSUEL", "2026", "4", "Total général", "Rabat", "SOFAC", None),
+        (2, "ANNEE N M", "ANNUEL", "2025", "1,2,3", "Fiat", None, "AIVAM", "NS")]
     assert kinds(result.issues) == []
     stopping = extract_pivot_staging(cells, routed_for(spark, cells, fixed.PIVOT_STAGING, {}), filters)
     assert [r.row for r in collect(stopping.rows.filter("bloc_index = 1"), "row", "col")] == [7, 7]
