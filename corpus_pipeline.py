@@ -16,17 +16,15 @@ from pyspark.sql import functions as F
 from gridspark.llm import exact_dedup, language_id, near_dedup, packing, pii
 from gridspark.llm.common import Run, read
 
-#: A document whose best language gets less than this is rejected, like one without letters.
-LEAST_LANGUAGE_SCORE = 0.4
-
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled rows teach. A null ``lang`` is filled by the prediction."""
+    """Documents in a language that the labelled rows teach; those without a letter are rejected. A null ``lang`` is filled by the prediction."""
     net = language_id.train(docs)
     if net is None:  # nothing is labelled, so nothing can be rejected for its language
         return docs.where(F.col("text").rlike(r"\p{L}"))
     named = language_id.predict(docs.withColumnsRenamed({"lang_pred": "docs lang_pred", "score": "docs score"}), net)
-    kept = named.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    # A low score alone is no reason: very short clean texts have one.
+    kept = named.where(F.col("lang_pred") != language_id.UNKNOWN)
     kept = kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
     return kept.withColumnsRenamed({"docs lang_pred": "lang_pred", "docs score": "score"})
 
