@@ -8,8 +8,8 @@ full sets; a large node branches on. Independent trees are repeated to reach the
 are joined to components.
 
 A node that is still large after the last level holds documents that are mostly alike. It is cut into
-blocks; each block also gets the node's pivots, which tie the blocks together. What is not tied to a
-pivot by then is compared with every block of its node, so no document is left out.
+blocks; each block also gets the node's pivots, which tie the blocks together. What is not in the node's
+largest component by then is compared with every block of its node, so no document is left out.
 
 With similarity s, a pair in leaves of depth d is missed by all trees with probability (1 - s^d)^trees:
 below 1e-8 for s = 0.85 and d = 1, where nearly all pairs end.
@@ -284,7 +284,9 @@ def near_duplicates(
     roots = components(links, run).withColumnRenamed("node", "set_id")
     if cut:
         rooted = lambda df: df.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-        tied = rooted(pivots).select("node", "root").distinct()
+        # One root a node is tied, the heaviest: what other pivots tie may be linked with it in another block.
+        weights = rooted(large).groupBy("node", "root").agg(F.count(F.lit(1)).alias("weight"))
+        tied = weights.groupBy("node").agg(F.max(F.struct("weight", "root"))["root"].alias("root"))
         loose = run.write(rooted(large).join(tied, ["node", "root"], "left_anti"), "loose")
         if not loose.isEmpty():
             more = confirm(clusters(_blocks(large, loose, False), "loose"), "loose")

@@ -113,6 +113,26 @@ def test_large_nodes_are_cut_into_blocks(spark, monkeypatch):
     assert report(got) == brute(rows)
 
 
+def bridged(seed):
+    """Two dense clusters, unlike each other, and one chain of texts between them."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    other = [f"v{i}" if i >= 90 else w for i, w in enumerate(base)]
+    texts = [near(rng, words, rng.randrange(0, 2)) for words in (base, other) for _ in range(60)]
+    texts += [" ".join(other[:90] + other[90 : 90 + k] + base[90 + k :]) for k in range(6, 60, 6)]
+    rng.shuffle(texts)
+    return [(i * 7 % 1009, t, None, None) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_a_bridge_between_clusters_that_pivots_tie(spark, monkeypatch, seed):
+    monkeypatch.setattr(near_dedup, "LEAF_ROWS", 12)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 6)
+    rows = bridged(seed)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"), trees=2, depth=1)
+    assert report(got) == brute(rows)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None)]])
 def test_empty(spark, rows):
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"))
