@@ -8,8 +8,11 @@ full sets; a large node branches on. Independent trees are repeated to reach the
 are joined to components.
 
 A node that is still large after the last level holds documents that are mostly alike. It is cut into
-blocks; each block also gets the node's pivots, which tie the blocks together. What is not in the node's
-largest component by then is compared with every block of its node, so no document is left out.
+blocks; each block also gets the node's pivots, which tie the blocks together. The sets of nodes that are
+not one component by then go through an exact prefix-filter join: each is sent to its rarest shingles, so many
+that sets of that similarity must meet in one, and what meets in another component is compared. So no pair is
+left out, and sets that merely share frequent shingles do not meet. What many sets share is cut into pairs of
+blocks, so a leaf stays bounded.
 
 With similarity s, a pair in leaves of depth d is missed by all trees with probability (1 - s^d)^trees:
 below 1e-8 for s = 0.85 and d = 1, where nearly all pairs end.
@@ -37,6 +40,8 @@ TREES, DEPTH = 12, 4
 #: Rows and shingles of a leaf at most.
 LEAF_ROWS, LEAF_SHINGLES = 256, 4_000_000
 PIVOTS = 16
+#: Shingles with at least this share of all are ordered by their number, so there are at most half a million.
+COMMON_SHARE = 1 / 500_000
 #: Sketch bytes that must agree for a full comparison; 0.85 is 5.5 standard deviations above.
 SKETCH_SLACK = 5.5
 
@@ -137,8 +142,7 @@ def _sketches(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _clusters(need: int):
-    """Leaves to clusters: members that likely similar pairs tie together; single ones go, and clusters in which
-    everything was compared before (no row is ``new``)."""
+    """Leaves to clusters: members that likely similar pairs tie together; single ones go."""
 
     def run(batches):
         for leaf in _runs(batches, "leaf"):
@@ -147,9 +151,9 @@ def _clusters(need: int):
             for a, b in zip(*_alike(sketches, need)[:2], strict=True):
                 forest.join(int(a), int(b))
             roots = np.array([forest.root(i) for i in range(len(sketches))])
-            sets, new = np.array(leaf.column("set_id").to_pylist(), object), leaf.column("new").to_numpy()
+            sets = np.array(leaf.column("set_id").to_pylist(), object)
             for root, n in zip(*np.unique(roots, return_counts=True), strict=True):
-                if n > 1 and new[roots == root].any():
+                if n > 1:
                     members = sorted(set(sets[roots == root]))
                     if len(members) > 1:
                         code = np.frombuffer(b"".join(members), np.uint64)
@@ -190,7 +194,7 @@ def _links(width: int, percent: int, need: int):
 
 
 def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[DataFrame], DataFrame]:
-    """(leaf, set_id, sketch, new) of the leaves, one DataFrame per level; and the nodes still large."""
+    """(leaf, set_id, sketch) of the leaves, one DataFrame per level; and the nodes still large."""
     rows = sets.select("set_id", "n_shingles", "sketch", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     rows = rows.withColumn("tokens", F.expr(f"substring(tokens, tree * {depth * 4} + 1, {depth * 4})"))
     rows = rows.withColumn("node", F.xxhash64("tree", F.substring("tokens", 1, 4)))
@@ -200,7 +204,7 @@ def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[Dat
         nodes = run.write(nodes.where("rows > 1"), f"nodes-{level}")
         kept = run.write(join_hot(rows, nodes, "node", "rows", rows.count()), f"kept-{level}")
         small = (F.col("rows") <= LEAF_ROWS) & (F.col("shingles") <= LEAF_SHINGLES)
-        leaves.append(kept.where(small).select(F.col("node").alias("leaf"), "set_id", "sketch", F.lit(True).alias("new")))
+        leaves.append(kept.where(small).select(F.col("node").alias("leaf"), "set_id", "sketch"))
         rows = kept.where(~small)
         if level == depth - 1 or rows.isEmpty():
             break
@@ -209,13 +213,128 @@ def _leaves(sets: DataFrame, run: Run, trees: int, depth: int) -> tuple[list[Dat
     return leaves, rows
 
 
-def _blocks(large: DataFrame, guests: DataFrame, first: bool) -> DataFrame:
-    """Large nodes as leaves: blocks of some rows, each joined by the guests of its node. After the first time
-    only the guests are new."""
+def _blocks(large: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Large nodes as leaves: blocks of some rows, each joined by the pivots of its node."""
     n = F.greatest(F.ceil(F.col("rows") / (LEAF_ROWS // 2)), F.ceil(F.col("shingles") / (LEAF_SHINGLES // 2))).cast("int")
-    own = large.select("node", F.pmod(F.xxhash64("set_id", "tree"), n).cast("int").alias("block"), "set_id", "sketch", F.lit(first).alias("new"))
-    came = guests.select("node", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "set_id", "sketch", F.lit(True).alias("new"))
-    return own.unionByName(came).select(F.xxhash64("node", "block").alias("leaf"), "set_id", "sketch", "new")
+    own = large.select("node", F.pmod(F.xxhash64("set_id", "tree"), n).cast("int").alias("block"), "set_id", "sketch")
+    came = pivots.select("node", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "set_id", "sketch")
+    return own.unionByName(came).select(F.xxhash64("node", "block").alias("leaf"), "set_id", "sketch")
+
+
+def _shingles(width: int):
+    """All shingles of the texts, for counting."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                for found in _shingle_sets(part.column("text"), width):
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["token"])
+
+    return run
+
+
+def _prefixes(width: int, percent: int, common: np.ndarray, counts: np.ndarray):
+    """Per set its rarest shingles, as many as a similar set that is not smaller (``first``) or not larger must
+    meet one of. Any fixed order of shingles is exact; by the counts of the ``common`` ones few sets meet."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                for k, found in enumerate(_shingle_sets(part.column("text"), width)):
+                    n = len(found)
+                    ranks = np.zeros(n, np.int64)
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+                        ranks = np.where(common[at] == found, counts[at], 0)
+                    # The least overlap with a set of n or more, and with one of n or fewer shingles.
+                    larger, smaller = n + 1 + (-2 * percent * n) // (100 + percent), n + 1 + (-percent * n) // 100
+                    tokens = found[np.lexsort((found, ranks))[:smaller]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tokens.view(np.int64)), pa.array(np.arange(len(tokens)) < larger), pa.array([n] * len(tokens), pa.int64()),
+                         *(pa.array([part.column(c)[k].as_py()] * len(tokens), pa.binary()) for c in ("set_id", "root"))],
+                        ["token", "first", "n_shingles", "set_id", "root"],
+                    )
+
+    return run
+
+
+def _met(percent: int, need: int):
+    """Leaves to clusters: what pairs of different components tie together that are likely similar."""
+
+    def run(batches):
+        for leaf in _runs(batches, "leaf"):
+            sketches, sizes = _sketches(leaf.column("sketch")), leaf.column("n_shingles").to_numpy()
+            ids = leaf.column("set_id").to_pylist()
+            roots = np.unique(np.array(leaf.column("root").to_pylist(), object), return_inverse=True)[1]
+            forest, tied = _Forest(len(ids)), np.zeros(len(ids), bool)
+            for i in range(len(ids) - 1):
+                j = np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
+                j = j[100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])]
+                for j in j[(sketches[j] == sketches[i]).sum(1) >= need]:
+                    forest.join(i, int(j))
+                    tied[[i, j]] = True
+            groups = {}
+            for i in np.flatnonzero(tied):
+                groups.setdefault(forest.root(int(i)), set()).add(ids[i])
+            for members in map(sorted, groups.values()):
+                code = np.frombuffer(b"".join(members), np.uint64)
+                name = int(windows(mix(code), len(code)).view(np.int64)[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(members), pa.int64()), pa.array(members, pa.binary())], ["cluster", "set_id"]
+                )
+
+    return run
+
+
+def _meetings(pool: DataFrame, texts: DataFrame, run: Run, width: int, percent: int) -> DataFrame:
+    """(leaf, set_id, root, sketch, n_shingles): the sets of the pool (set_id, root, sketch, n_shingles) that meet in a
+    shingle, in leaves of bounded size, every pair of different components in one leaf or more."""
+    held = run.write(texts.select("set_id", "text").join(pool.select("set_id", "root"), "set_id"), "pool-texts")
+    total = pool.agg(F.sum("n_shingles")).first()[0]
+    common = held.mapInArrow(_shingles(width), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    common = common.where(F.col("n") >= max(2.0, total * COMMON_SHARE)).toArrow()
+    tokens = common.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    prefixes = run.write(
+        held.mapInArrow(_prefixes(width, percent, tokens[order], common.column("n").to_numpy()[order]),
+                        "token long, first boolean, n_shingles long, set_id binary, root binary"),
+        "prefixes",
+    )
+    # The heaviest component of a shingle is tied: its rows need not meet each other there.
+    # A side of a shingle is as many blocks as its rows and their sets ask for.
+    blocks = lambda rows, sizes: F.ceil(F.greatest(rows / (LEAF_ROWS // 2), sizes / (LEAF_SHINGLES // 2))).cast("int")
+    weights = prefixes.groupBy("token", "root").agg(
+        F.count(F.lit(1)).alias("weight"), F.count_if("first").alias("firsts"), F.sum("n_shingles").alias("size"),
+        F.sum(F.when(F.col("first"), F.col("n_shingles")).otherwise(0)).alias("first_size"))
+    groups = weights.groupBy("token").agg(
+        F.sum("weight").alias("rows"), F.sum("firsts").alias("all_firsts"), F.sum("size").alias("shingles"),
+        F.sum("first_size").alias("all_first_size"), F.count(F.lit(1)).alias("roots"),
+        F.max(F.struct("weight", "root", "firsts", "size", "first_size")).alias("tied"))
+    groups = run.write(groups.where("roots > 1 and all_firsts > 0").drop("roots"), "meeting")
+    met = join_hot(prefixes.drop("n_shingles"), groups, "token", "rows", prefixes.count())
+    met = run.write(met.join(pool.drop("root").hint("merge"), "set_id"), "met")
+    small = (F.col("rows") <= LEAF_ROWS) & (F.col("shingles") <= LEAF_SHINGLES)
+    whole = met.where(small).withColumn("leaf", F.xxhash64("token"))
+    # Large ones: blocks of rows that come first against blocks of all rows, but for tied against tied.
+    many = met.where(~small).withColumn("is_tied", F.col("root") == F.col("tied.root"))
+    n = {("first", True): blocks(F.col("tied.firsts"), F.col("tied.first_size")),
+         ("first", False): blocks(F.col("all_firsts") - F.col("tied.firsts"), F.col("all_first_size") - F.col("tied.first_size")),
+         ("any", True): blocks(F.col("tied.weight"), F.col("tied.size")),
+         ("any", False): blocks(F.col("rows") - F.col("tied.weight"), F.col("shingles") - F.col("tied.size"))}
+    leaves = whole
+    for side, other in (("first", "any"), ("any", "first")):
+        for tied in (True, False):
+            rows = many.where(F.col("is_tied") if tied else ~F.col("is_tied"))
+            rows = rows.where("first") if side == "first" else rows
+            mine = F.pmod(F.xxhash64("set_id", "token"), n[side, tied]).cast("int")
+            for against in (False,) if tied else (True, False):
+                pairs = rows.where(n[other, against] > 0).withColumn("block", mine).withColumn(
+                    "with", F.explode(F.sequence(F.lit(0), n[other, against] - 1)))
+                key = ["block", "with"] if side == "first" else ["with", "block"]
+                flags = [tied, against] if side == "first" else [against, tied]
+                leaves = leaves.unionByName(
+                    pairs.withColumn("leaf", F.xxhash64("token", *map(F.lit, flags), *key)).drop("is_tied", "block", "with"))
+    return leaves.select("leaf", "set_id", "root", "sketch", "n_shingles")
 
 
 def near_duplicates(
@@ -246,11 +365,11 @@ def near_duplicates(
         "sets",
     )
 
-    def clusters(leaves: DataFrame, name: str) -> DataFrame:
+    def clusters(leaves: DataFrame, of, name: str) -> DataFrame:
         """What is likely alike within a leaf."""
         return run.write(
             leaves.repartition(parts, "leaf").sortWithinPartitions("leaf")
-            .mapInArrow(_clusters(need), "cluster long, set_id binary").distinct(),
+            .mapInArrow(of, "cluster long, set_id binary").distinct(),
             f"{name}-clusters",
         )
 
@@ -267,11 +386,11 @@ def near_duplicates(
     if cut:
         order = Window.partitionBy("node").orderBy(F.xxhash64("tree", "set_id"), "set_id")
         pivots = run.write(large.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS), "pivots")
-        levels.append(_blocks(large, pivots, True))
+        levels.append(_blocks(large, pivots))
     leaves = levels[0]
     for level in levels[1:]:
         leaves = leaves.unionByName(level)
-    found = clusters(leaves, "leaves")
+    found = clusters(leaves, _clusters(need), "leaves")
     # The texts that may have to be compared, read and shuffled once; their number is not bounded.
     members = sets.join(found.select("set_id").unionByName(large.select("set_id")).distinct(), "set_id", "left_semi")
     members = members.select("set_id", "sketch", "first.*").withColumnRenamed("doc_id", "least")
@@ -284,12 +403,13 @@ def near_duplicates(
     roots = components(links, run).withColumnRenamed("node", "set_id")
     if cut:
         rooted = lambda df: df.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-        # One root a node is tied, the heaviest: what other pivots tie may be linked with it in another block.
-        weights = rooted(large).groupBy("node", "root").agg(F.count(F.lit(1)).alias("weight"))
-        tied = weights.groupBy("node").agg(F.max(F.struct("weight", "root"))["root"].alias("root"))
-        loose = run.write(rooted(large).join(tied, ["node", "root"], "left_anti"), "loose")
-        if not loose.isEmpty():
-            more = confirm(clusters(_blocks(large, loose, False), "loose"), "loose")
+        held = run.write(rooted(large.select("node", "set_id", "sketch", "n_shingles")), "held")
+        mixed = held.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("a"), F.max("root").alias("b"))
+        mixed = run.write(mixed.where("a <> b").select("node", "rows"), "mixed")
+        if not mixed.isEmpty():
+            pool = join_hot(held, mixed, "node", "rows", held.count()).select("set_id", "root", "sketch", "n_shingles")
+            pool = run.write(pool.dropDuplicates(["set_id"]), "pool")
+            more = confirm(clusters(_meetings(pool, texts, run, shingle, percent), _met(percent, need), "met"), "met")
             if not more.isEmpty():
                 stars = roots.select(F.col("set_id").alias("a"), F.col("root").alias("b"))
                 roots = components(stars.unionByName(more), run, "all-components").withColumnRenamed("node", "set_id")

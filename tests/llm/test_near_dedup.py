@@ -133,6 +133,28 @@ def test_a_bridge_between_clusters_that_pivots_tie(spark, monkeypatch, seed):
     assert report(got) == brute(rows)
 
 
+def test_templates_do_not_meet(spark, monkeypatch):
+    """Texts that share most shingles and are no near duplicates stay apart; leaves are bounded, pairs are found."""
+    monkeypatch.setattr(near_dedup, "LEAF_ROWS", 12)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    sizes, leaf_runs = spark.sparkContext.accumulator(0), near_dedup._runs
+
+    def counted(batches, key):
+        for table in leaf_runs(batches, key):
+            if key == "leaf" and table.num_rows > 60:  # blocks are of 6 rows, by hash, and pivots
+                sizes.add(1)
+            yield table
+
+    monkeypatch.setattr(near_dedup, "_runs", counted)
+    rows = [(i, f"one two three four five six seven n{i}", None, None) for i in range(200)]
+    long = [f"w{i}" for i in range(60)]
+    rows += [(300 + i, " ".join([*long, *(f"n{i}x{k}" for k in range(4 if i % 10 else 10))]), None, None) for i in range(80)]
+    rows += [(500 + i, " ".join([*long, *(f"n{i}x{k}" for k in range(5))]), None, None) for i in range(1, 10)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"), trees=6, depth=1)
+    assert report(got) == brute(rows)
+    assert sizes.value == 0
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None)]])
 def test_empty(spark, rows):
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"))
