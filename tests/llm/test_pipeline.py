@@ -61,6 +61,16 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert {p.doc_id: p.doc_tokens for p in pieces} == sizes and sum(p.length for p in pieces) == sum(sizes.values())
 
 
+def test_near_copies_from_a_similarity_of_80_percent(spark):
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(words), " ".join([*words[:25], "other", *words[26:]]), " ".join([*words[:15], "a", *words[16:30], "b", *words[31:]])]
+    rows = [(i, t, "en", "src", len(t)) for i, t in enumerate(texts)]
+    # 41 of 51 shingles are shared by the first two; the third is below 0.8 to both.
+    wanted = [r[0] for r in test_near_dedup.brute(rows, 80) if r[3]]
+    kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert sorted(r.doc_id for r in kept.collect()) == wanted == [0, 2]
+
+
 def test_pipeline_on_an_empty_table_and_extra_columns(spark, tmp_path):
     extra = SCHEMA + ", score string, lang_pred string, kept string, mark string"
     for name, rows in (("none", []), ("few", [(*r, "s", "l", None, "m") for r in documents()[:8]])):
