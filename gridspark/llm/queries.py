@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from gridspark.llm.bit_sliced import OP13_SQL, op13_exact_top_k
 from gridspark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from gridspark.llm.graph_search import op5_nearest_neighbours
 from gridspark.llm.language_id import op8_language_id
+from gridspark.llm.lexical_search import OP12_SQL, op12_lexical_search
 from gridspark.llm.near_dedup import op10_near_dedup
 from gridspark.llm.packing import op6_packing
 from gridspark.llm.pieces import op2_sampled_pieces
@@ -24,4 +26,6 @@ REPORTS = {
     "op8_language_id": (op8_language_id, None),
     "op9_pii": (op9_pii, None),
     "op10_near_dedup": (op10_near_dedup, None),
+    "op12_lexical_search": (op12_lexical_search, OP12_SQL),
+    "op13_exact_top_k": (op13_exact_top_k, OP13_SQL),
 }
