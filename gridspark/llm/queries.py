@@ -11,6 +11,7 @@ from gridspark.llm.near_dedup import op10_near_dedup
 from gridspark.llm.packing import op6_packing
 from gridspark.llm.pieces import op2_sampled_pieces
 from gridspark.llm.pii import op9_pii
+from gridspark.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from gridspark.llm.quality import op3_quality_classifier
 from gridspark.llm.substring_dedup import op7_substring_dedup
 from gridspark.llm.url_filter import OP4_SQL, op4_url_filter
@@ -26,6 +27,7 @@ REPORTS = {
     "op8_language_id": (op8_language_id, None),
     "op9_pii": (op9_pii, None),
     "op10_near_dedup": (op10_near_dedup, None),
+    "op11_prefix_trie": (op11_prefix_trie, OP11_SQL),
     "op12_lexical_search": (op12_lexical_search, OP12_SQL),
     "op13_exact_top_k": (op13_exact_top_k, OP13_SQL),
 }
