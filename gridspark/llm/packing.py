@@ -127,10 +127,10 @@ class WordIds:
         entries = [None] * len(texts)
         # Words are told apart by 128-bit hashes; only distinct ones are looked up.
         words = _pretokens([plain[i] for i in fast])
-        _, first, which = np.unique(words.hashes(0), return_index=True, return_inverse=True)
-        other = words.hashes(1)
-        if not np.array_equal(other[first][which], other):
-            raise ValueError("two words have one hash")
+        hashes, other = words.hashes(0), words.hashes(1)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if not np.array_equal(other[first][which], other):  # one half alone agrees by chance
+            _, first, which = np.unique(np.stack((hashes, other), axis=1), axis=0, return_index=True, return_inverse=True)
         data = words.data.tobytes()
         distinct = [data[a:b].decode() for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
         self.learn(distinct)

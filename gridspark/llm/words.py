@@ -19,20 +19,13 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_WORD_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers, one for each half of a 128-bit hash
-_WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))  # one for each half of a 128-bit hash
+_LEFT = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))  # odd; tells the left part of a window from the right
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)  # the first n bytes of eight
 _BLOCK = 1 << 18
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    factors = np.full(n, base, np.uint64)
-    factors[:1] = 1
-    return np.cumprod(factors, dtype=np.uint64)
-
-
-_POWERS = [(_powers(b, _BLOCK), _powers(pow(b, -1, 1 << 64), _BLOCK)) for b in _WORD_BASES]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (the finalizer of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -50,24 +43,23 @@ class Words:
     first: np.ndarray
 
     def hashes(self, half: int = 0) -> np.ndarray:
-        """A 64-bit hash per word: a polynomial over its bytes, by differences of running sums."""
-        power, inverse = _POWERS[half]
+        """A 64-bit hash per word: eight bytes at a time are mixed with their place in the word, and summed up."""
         out, i, n = np.empty(len(self.starts), np.uint64), 0, len(self.starts)
         while i < n:
             low = self.starts[i]
             j = max(i + 1, int(np.searchsorted(self.ends, low + _BLOCK, "right")))
-            length = int(self.ends[j - 1] - low)
-            if length > _BLOCK:  # one word longer than a block
-                power, inverse = _powers(_WORD_BASES[half], length), _powers(pow(_WORD_BASES[half], -1, 1 << 64), length)
-            terms = self.data[low : low + length].astype(np.uint64)
-            terms += np.uint64(1)
-            terms *= power[:length]
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
-            s, e = self.starts[i:j] - low, self.ends[i:j] - low
-            out[i:j] = (sums[e] - sums[s]) * inverse[s]
-            power, inverse = _POWERS[half]
+            data = np.concatenate((self.data[low : self.ends[j - 1]], np.zeros(8, np.uint8)))
+            eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+            starts, sizes = self.starts[i:j] - low, self.ends[i:j] - self.starts[i:j]
+            counts = (sizes + 7) >> 3
+            place = ragged(np.zeros(j - i, np.int64), counts)
+            first = np.cumsum(counts) - counts
+            at = np.repeat(starts, counts) + 8 * place
+            left = np.minimum(np.repeat(sizes, counts) - 8 * place, 8)
+            terms = mix((eights[at] & _KEEP[left]) + mix(place.astype(np.uint64) * _GOLDEN + _SEEDS[half]))
+            out[i:j] = mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64) * _GOLDEN)
             i = j
-        return mix(out)
+        return out
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -110,20 +102,21 @@ def windows(hashes: np.ndarray, width: int, half: int = 0) -> np.ndarray:
     """A 64-bit hash of every run of ``width`` word hashes, also across documents; one per start."""
     if len(hashes) < width:
         return np.zeros(0, np.uint64)
-    base, done, out, power = _WINDOW_BASES[half], 0, None, hashes
+    done, out, power = 0, None, hashes
     step, bits = 1, width
     # Doubling: a window of 2k is two windows of k; ``out`` gathers the parts of width's binary digits.
+    # Every step mixes: sums of powers of an odd number alone would agree for some patterns of two words.
     while bits:
         if bits & 1:
             if out is None:
                 out, done = power, step
             else:
                 n = min(len(out), len(power) - done)
-                out = out[:n] * np.uint64(pow(base, step, 1 << 64)) + power[done : done + n]
+                out = mix(out[:n] * _LEFT[half] + power[done : done + n])
                 done += step
         bits >>= 1
         if bits:
-            power = power[: len(power) - step] * np.uint64(pow(base, step, 1 << 64)) + power[step:]
+            power = mix(power[: len(power) - step] * _LEFT[half] + power[step:])
             step *= 2
     return mix(out[: len(hashes) - width + 1] + np.uint64(width))
 

@@ -83,6 +83,21 @@ def test_long_word_hash():
     assert h[0] == h[4] and h[1] == h[3] and h[2] == h[5] and len(set(h.tolist())) == 3
 
 
+def test_hashes_tell_patterned_words_apart():
+    """Words that sums of powers modulo 2^64 cannot tell apart, of 2^7 to 2^13 letters; and runs of such patterns of words."""
+    for bits in range(7, 14):
+        pattern = [i.bit_count() & 1 for i in range(1 << bits)]
+        a, b = ("".join("ab"[x ^ flip] for x in pattern) for flip in (0, 1))
+        words = split_words(pa.array([f"{a} {b} {a}"]))
+        for half in (0, 1):
+            h = words.hashes(half)
+            assert h[0] == h[2] != h[1]
+        numbers = np.array([[5, 9][x] for x in pattern] + [[9, 5][x] for x in pattern], np.uint64)
+        for half in (0, 1):
+            got = windows(numbers, len(pattern), half)
+            assert got[0] != got[-1]
+
+
 def test_components_equal_brute_force(spark):
     rng = random.Random(1)
     rows = [(i, t, "x", None) for i, t in enumerate(corpus(rng))]

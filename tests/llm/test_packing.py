@@ -126,3 +126,26 @@ def test_small_tables(spark, weights):
     for rows in ([], [(1, None, None, None, None)], [(i, "some words here " * 40, "ab"[i % 2], None, None) for i in range(200)]):
         pieces = packing.pack(spark.createDataFrame(rows, SCHEMA), Run(spark, "test"), FILE, weights=weights).collect()
         check(pieces, rows)
+
+
+def test_patterned_words_have_their_own_ids():
+    """Two words of 1,024 letters that are complements of one pattern, and their like, next to each other."""
+    with open(FILE) as file:
+        coder = packing.WordIds(file.read())
+    tokenizer = Tokenizer.from_file(FILE)
+    for bits in (7, 10, 11, 13):
+        texts = ["".join("ab"[(i.bit_count() & 1) ^ flip] for i in range(1 << bits)) for flip in (0, 1)]
+        ids, counts = coder.encode(texts)
+        for text, got in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert list(got) == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_agreement_of_one_half_does_no_harm(monkeypatch):
+    whole = packing.Words.hashes
+    monkeypatch.setattr(packing.Words, "hashes", lambda self, half=0: whole(self, half) % np.uint64(3) if half == 0 else whole(self, half))
+    with open(FILE) as file:
+        coder = packing.WordIds(file.read())
+    tokenizer = Tokenizer.from_file(FILE)
+    texts = ["the quick brown fox jumps over the lazy dog 12345", "never the same word twice"]
+    ids, counts = coder.encode(texts)
+    assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
