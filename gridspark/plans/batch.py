@@ -20,13 +20,14 @@ from gridspark.plans import checks
 from gridspark.plans.activity import extract_activity
 from gridspark.plans.common import Extraction, union_all
 from gridspark.plans.competitor import extract_quarterly, extract_staging, extract_summary
-from gridspark.plans.details import as_table, extract_details, header_signatures
+from gridspark.plans.details import details_lines, extract_details
 from gridspark.plans.penetration import extract_penetration
 from gridspark.plans.pivots import extract_concession, extract_pivot_staging
 from gridspark.plans.routing import Rules, route_report, routing_issues, setting
 from gridspark.plans.variation import extract_variation
 from gridspark.sinks.reports import manifest, write_manifest, write_rejections
-from gridspark.sinks.tables import write_tables
+from gridspark.sinks.snapshots import read_snapshot, snapshot, write_snapshot
+from gridspark.sinks.tables import write_lines, write_tables
 from gridspark.sources.pivots import page_filters
 from gridspark.sources.workbooks import (
     discover, package_faults, read_cells_of, read_merged_of, read_sheets_of, readable, unzip,
@@ -89,8 +90,9 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
               previous: str | None = None, separator: str = ";", bom: bool = True) -> DataFrame:
     """Process every workbook; returns the verdicts.
 
-    Writes ``tables/<table>``, ``rejections``, ``issues`` and ``manifests`` below ``output``.
-    ``previous`` is the output of the run before, whose other sheets are taken over.
+    Writes ``tables/<table>``, ``rejections``, ``issues``, ``manifests`` and ``snapshot`` below ``output``.
+    ``previous`` is the output of the run before: the snapshot refers to it, or to what it refers to, for all that this
+    run did not judge.
     """
     started = datetime.now(timezone.utc).isoformat()
     work = stage_folder(spark, output)
@@ -111,7 +113,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     # A package that cannot be read has no sheets; its issue names the workbook alone.
     unread = broken.withColumn("sheet", F.lit("")).select(*issue("package", F.col("fault")))
     issues = [routing_issues(report), unread]
-    for name, table in TABLES.items():
+    present = {r.family for r in routed.select("family").distinct().collect()}  # of the few known families
+    for name, table in ((n, t) for n, t in TABLES.items() if t.family in present):
         extraction = table.extract(cells, routed, *[side[s] for s in table.side])
         rows = staged(extraction.rows, f"{work}/rows/{name}")
         audit = checks.audit(cells, extraction.footprint, rules.error_policy, rules.missing_cache_policy)
@@ -119,22 +122,27 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
         issues.append(staged(found, f"{work}/issues/{name}"))
         results[name] = rows
     all_issues = staged(union_all(issues), f"{output}/issues")
-    counts = union_all([r.groupBy(*SHEET).agg(F.count("*").alias("rows")) for r in results.values()])
+    counted = [r.groupBy(*SHEET).agg(F.count("*").alias("rows")) for r in results.values()]
+    counts = union_all(counted) if counted else spark.createDataFrame([], "workbook string, sheet string, rows bigint")
     judged = report.filter(F.col("outcome").isin("routed", "family_mismatch", "routed_twice",
                                                  "ambiguous_name", "ambiguous_workbook"))
     verdicts = staged(checks.verdict(judged.select(*SHEET, "ordinal", "family"), counts, all_issues),
                       f"{work}/verdicts")
+    layout = F.coalesce(setting("layout"), F.lit("summary"))
+    table_of = F.when((F.col("family") == fixed.SUMMARY) & (layout == "staging"), "staging")
+    for name, table in TABLES.items():
+        table_of = table_of.when(F.col("family") == table.family, name)
+    placed = staged(verdicts.join(routed.select(*SHEET, "structure"), SHEET, "left").withColumn("table", table_of).drop("structure"),
+                    f"{work}/placed")
     for name, rows in results.items():
-        before = None if previous is None else f"{previous}/tables/{name}"
+        mine, path = placed.filter(F.col("table") == name), f"{output}/tables/{name}"
         if name == "details":
-            for i, names in enumerate(sorted(header_signatures(rows))):
-                write_tables(as_table(rows, names), verdicts, list(names), ["row"], f"{output}/tables/{name}_{i}",
-                             separator, bom)
-            continue
-        mine = verdicts.filter(F.col("family") == TABLES[name].family)
-        write_tables(rows, mine, list(fixed.HEADERS[name]), list(TABLES[name].order), f"{output}/tables/{name}",
-                     separator, bom, before)
+            write_lines(details_lines(rows, mine, separator, bom), path)
+        else:
+            write_tables(rows, mine, list(fixed.HEADERS[name]), list(TABLES[name].order), path, separator, bom)
     write_rejections(all_issues, f"{output}/rejections")
     finished = datetime.now(timezone.utc).isoformat()
     write_manifest(manifest(verdicts, all_issues, started, finished), f"{output}/manifests")
+    read = sheets.select("workbook").unionByName(broken.select("workbook"))
+    write_snapshot(snapshot(placed, read, output, None if previous is None else read_snapshot(spark, previous)), output)
     return verdicts

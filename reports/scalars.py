@@ -127,7 +127,7 @@ SELECT l_orderkey, l_partkey, regexp_replace(CAST(n AS VARCHAR), '\\.?0+$', '')
 
 def to_int(spark, sf_dir):
     m = numeric.to_measure((money("l_quantity") / F.when(F.col("l_linenumber") > 3, 2).otherwise(1)).cast("decimal(18,3)").cast("string"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", numeric.to_int(m).alias("whole"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", numeric.to_int(m).cast("int").alias("whole"))
 
 
 def is_scientific(spark, sf_dir):

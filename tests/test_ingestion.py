@@ -115,7 +115,7 @@ def test_batch(spark, folder, tmp_path):
         {"excel": {"error_policy": "reject"}})
     verdicts = run_batch(spark, str(folder), str(tmp_path / "out"), rules).collect()
     assert sorted((r.sheet, r.status, r.rows) for r in verdicts) == [("Détails", "success", 2), ("Types", "rejected", 0)]
-    files = list(Path(tmp_path / "out/tables").rglob("status=success/workbook_slug=suivi_2026/sheet_slug=details/*.csv"))
+    files = list(Path(tmp_path / "out/tables").rglob("status=success/workbook_slug=suivi_2026/sheet_slug=details/part=0/*.txt"))
     text = files[0].read_text(encoding="utf-8")
     assert text == "﻿marque;nombre;ville;mois;annee;source\nDacia <&>;2.5;Fès;4;2026;src\nDacia <&>;3.5;Fès;4;2026;src\n".replace("﻿", chr(0xFEFF))
     manifest = json.loads(next(Path(tmp_path / "out/manifests").rglob("*.json")).read_text(encoding="utf-8"))
