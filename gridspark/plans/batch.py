@@ -30,7 +30,8 @@ from gridspark.sinks.snapshots import read_snapshot, snapshot, write_snapshot
 from gridspark.sinks.tables import write_lines, write_tables
 from gridspark.sources.pivots import page_filters
 from gridspark.sources.workbooks import (
-    discover, package_faults, read_cells_of, read_merged_of, read_sheets_of, readable, unzip,
+    checked_cells_of, chunk_faults, discover, discover_paths, package_faults, read_merged_of, read_sheets_of, readable, true_cells,
+    unzip, unzip_parts,
 )
 
 
@@ -87,20 +88,22 @@ def check_table(name: str, rows: DataFrame, routed: DataFrame) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
-              previous: str | None = None, separator: str = ";", bom: bool = True) -> DataFrame:
+              previous: str | None = None, separator: str = ";", bom: bool = True, streamed: bool = True) -> DataFrame:
     """Process every workbook; returns the verdicts.
 
     Writes ``tables/<table>``, ``rejections``, ``issues``, ``manifests`` and ``snapshot`` below ``output``.
     ``previous`` is the output of the run before: the snapshot refers to it, or to what it refers to, for all that this
-    run did not judge.
+    run did not judge. Packages are ``streamed`` part by part; for a store that only Spark can open, say False.
     """
     started = datetime.now(timezone.utc).isoformat()
     work = stage_folder(spark, output)
-    parts = staged(unzip(discover(spark, input_path)), f"{work}/parts")
+    whole = unzip_parts(discover_paths(spark, input_path)) if streamed else unzip(discover(spark, input_path))
+    parts = staged(whole, f"{work}/parts")
     broken = package_faults(parts)
     parts = readable(parts, broken)
-    write_cells(read_cells_of(parts), f"{work}/cells")
-    cells = read_cells(spark, f"{work}/cells")
+    write_cells(checked_cells_of(parts), f"{work}/cells")
+    checked = read_cells(spark, f"{work}/cells")
+    cells = true_cells(checked)
     sheets = staged(read_sheets_of(parts, cells), f"{work}/sheets")
     report = staged(route_report(sheets, rules), f"{work}/report")
     routed = report.filter("outcome = 'routed'").select(
@@ -112,7 +115,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     results: dict[str, DataFrame] = {}
     # A package that cannot be read has no sheets; its issue names the workbook alone.
     unread = broken.withColumn("sheet", F.lit("")).select(*issue("package", F.col("fault")))
-    issues = [routing_issues(report), unread]
+    malformed = chunk_faults(checked, parts).select(*issue("package", F.col("fault")))
+    issues = [routing_issues(report), unread, malformed]
     present = {r.family for r in routed.select("family").distinct().collect()}  # of the few known families
     for name, table in ((n, t) for n, t in TABLES.items() if t.family in present):
         extraction = table.extract(cells, routed, *[side[s] for s in table.side])

@@ -13,6 +13,7 @@ import re
 import zipfile
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -48,6 +49,10 @@ BUILTIN_FORMATS = {
 }
 
 XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+# What cannot be parsed is kept here; without it a malformed chunk would lose its rows silently.
+_CORRUPT = "_corrupt"
+CHECKED_XML = {**XML_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+FAULT = "fault"  # kind of the cell that stands for a malformed chunk
 _TEXT = "t:string,r:array<struct<t:string>>"
 _CELL = (
     "struct<_r:string,_t:string,_s:int,v:string,f:struct<_VALUE:string,_t:string,_si:int>,"
@@ -70,8 +75,18 @@ _STYLES = (
 def discover(spark: SparkSession, path: str) -> DataFrame:
     """(workbook, content) of one workbook or of those of a folder, lock files left out.
 
-    A path that does not exist, and a file with another suffix, are errors.
+    A path that does not exist, and a file with another suffix, are errors. A content is one value, so a package has
+    2 GiB at most and one task; :func:`discover_paths` has neither bound.
     """
+    return _found(spark, path).select("workbook", "content")
+
+
+def discover_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(workbook, path) of the same workbooks, for :func:`unzip_parts`; contents are not read."""
+    return _found(spark, path).select("workbook", "path")
+
+
+def _found(spark: SparkSession, path: str) -> DataFrame:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(hadoop_path):
@@ -80,7 +95,7 @@ def discover(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"Unsupported input file: {path}")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xXmM]").load(path)
     name = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))
-    return found.select(name.alias("workbook"), "content").filter(~F.startswith("workbook", F.lit("~$")))
+    return found.withColumn("workbook", name).filter(~F.startswith("workbook", F.lit("~$")))
 
 
 # --- unzip -------------------------------------------------------------------------------------
@@ -136,30 +151,101 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 for part in _parts_of(workbook, content):
                     yield pd.DataFrame([[*part, None]], columns=columns)
-            except (zipfile.BadZipFile, zlib.error, EOFError, KeyError, RuntimeError, UnicodeDecodeError) as fault:
+            except _FAULTS as fault:
                 yield pd.DataFrame([[workbook, "", 0, 0, None, None, None, None, f"{type(fault).__name__}: {fault}"]], columns=columns)
 
 
 def _parts_of(workbook: str, content: bytes) -> Iterator[list]:
     """The parts of one package, as rows of PARTS without the fault."""
-    text = lambda raw: raw.decode("utf-8-sig")
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        names = [n for n in archive.namelist() if n.endswith((".xml", ".rels", ".bin")) and "/media/" not in n]
-        read = lambda n: text(archive.read(n)) if n in names else None
-        book, rels, styles = read("xl/workbook.xml"), read("xl/_rels/workbook.xml.rels"), read("xl/styles.xml")
-        for name in names:
-            if name.endswith(".bin") or "pivotCacheRecords" in name:
-                continue
-            big = ("sheet" if re.search(r"worksheets/[^/]+\.xml$", name)
-                   else "strings" if name.lower().endswith("sharedstrings.xml") else None)
-            if big is None:
-                yield [workbook, name, 0, 0, read(name), None, None, None]
-                continue
-            extra = [book, rels, styles] if big == "sheet" else [None, None, None]
-            with archive.open(name) as stream:
-                for i, (seen, start, body, rest) in enumerate(_chunks(stream, big)):
-                    xml = text(start + body + rest)
-                    yield [workbook, name, i, seen, xml, *extra]
+        for name in _part_names(archive):
+            yield from _rows_of_part(workbook, archive, name)
+
+
+def _part_names(archive: zipfile.ZipFile) -> list[str]:
+    """The parts that are read: XML and relationships, without media and the records of pivot caches."""
+    return [n for n in archive.namelist() if n.endswith((".xml", ".rels")) and "/media/" not in n and "pivotCacheRecords" not in n]
+
+
+def _rows_of_part(workbook: str, archive: zipfile.ZipFile, name: str) -> Iterator[list]:
+    """Rows of PARTS of one part; the chunks of a sheet carry the small parts that are needed to read them."""
+    text, names = (lambda raw: raw.decode("utf-8-sig")), set(archive.namelist())
+    read = lambda n: text(archive.read(n)) if n in names else None
+    big = ("sheet" if re.search(r"worksheets/[^/]+\.xml$", name)
+           else "strings" if name.lower().endswith("sharedstrings.xml") else None)
+    if big is None:
+        yield [workbook, name, 0, 0, read(name), None, None, None]
+        return
+    extra = [None, None, None]
+    if big == "sheet":
+        extra = [read("xl/workbook.xml"), read("xl/_rels/workbook.xml.rels"), read("xl/styles.xml")]
+    with archive.open(name) as stream:
+        for i, (seen, start, body, rest) in enumerate(_chunks(stream, big)):
+            yield [workbook, name, i, seen, text(start + body + rest), *extra]
+
+
+_FAULTS = (zipfile.BadZipFile, zlib.error, EOFError, KeyError, RuntimeError, ValueError, OSError)
+
+
+def _opened(path: str):
+    """A stream with positions over a file, in whatever store its path names."""
+    from pyarrow import fs
+
+    scheme, rest = re.match(r"(?:([A-Za-z][\w+.-]*):)?(.*)", path, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    authority, _, inside = rest.lstrip("/").partition("/")
+    system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system.open_input_file(f"{root.rstrip('/')}/{inside}")
+
+
+def _list_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Only the directory at the end of each package is read."""
+    for batch in batches:
+        for workbook, path in zip(batch["workbook"], batch["path"]):
+            try:
+                with _opened(path) as file, zipfile.ZipFile(file) as archive:
+                    sizes = {i.filename: i.file_size for i in archive.infolist()}
+                    rows = [[workbook, path, n, sizes[n], None] for n in _part_names(archive)]
+            except _FAULTS as fault:
+                rows = [[workbook, path, "", 0, f"{type(fault).__name__}: {fault}"]]
+            yield pd.DataFrame(rows, columns=["workbook", "path", "part", "size", "fault"])
+
+
+def _read_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c.split()[0] for c in PARTS.split(", ")]
+    for batch in batches:
+        for workbook, path, part, _, fault in batch.itertuples(index=False, name=None):
+            if fault is None:
+                try:
+                    with _opened(path) as file, zipfile.ZipFile(file) as archive:
+                        for row in _rows_of_part(workbook, archive, part):
+                            yield pd.DataFrame([[*row, None]], columns=columns)
+                except _FAULTS as found:
+                    fault = f"{type(found).__name__}: {found}"
+            if fault is not None:
+                yield pd.DataFrame([[workbook, part, 0, 0, None, None, None, None, fault]], columns=columns)
+
+
+#: Bytes of unzipped parts that a task reads, about.
+TASK_BYTES = 64 << 20
+
+
+def list_parts(files: DataFrame) -> DataFrame:
+    """(workbook, path, part, size, fault): what the packages of :func:`discover_paths` hold."""
+    return files.mapInPandas(_list_parts, "workbook string, path string, part string, size bigint, fault string")
+
+
+def unzip_parts(files: DataFrame) -> DataFrame:
+    """The same rows as :func:`unzip`, read part by part: the parts of one package spread over tasks, and each is
+    streamed from its place in the file, whatever the size of the package.
+
+    The packages are listed in tasks too, so that a folder of millions of them does not pass through the driver.
+    """
+    listed = settle(list_parts(files))
+    total = listed.agg(F.sum("size")).first()[0] or 0
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return listed.repartition(tasks, "path", "part").mapInPandas(_read_parts, PARTS)
 
 
 def unzip(files: DataFrame) -> DataFrame:
@@ -251,19 +337,43 @@ def _sheet_chunks(parts: DataFrame) -> DataFrame:
 
 
 def read_cells_of(parts: DataFrame) -> DataFrame:
-    """``cells`` of all sheets."""
+    """``cells`` of all sheets, those of malformed chunks left out."""
+    return true_cells(checked_cells_of(parts))
+
+
+def true_cells(cells: DataFrame) -> DataFrame:
+    return cells.filter(F.col("kind") != FAULT)
+
+
+def chunk_faults(cells: DataFrame, parts: DataFrame) -> DataFrame:
+    """(workbook, sheet, fault) of malformed chunks: of sheets, from :func:`checked_cells_of`, and of shared strings, whose
+    sheet is empty."""
+    strings = parts.filter(F.lower("part").like("%sharedstrings.xml")).select(
+        "workbook", "part", F.from_xml("xml", f"{_STRINGS}, {_CORRUPT} string", CHECKED_XML)[_CORRUPT].alias("bad"))
+    message = lambda part: F.concat(F.lit("malformed XML in "), part)
+    return cells.filter(F.col("kind") == FAULT).select(*SHEET, F.col("raw").alias(FAULT)).distinct().unionByName(
+        strings.filter("bad is not null").select("workbook", F.lit("").alias("sheet"), message(F.col("part")).alias(FAULT)).distinct())
+
+
+def checked_cells_of(parts: DataFrame) -> DataFrame:
+    """``cells`` of all sheets; a malformed chunk is one cell of the kind ``fault`` that names it."""
     date1904 = F.lower(F.from_xml("book_xml", _BOOK, XML_OPTIONS)["workbookPr"]["_date1904"]).isin("1", "true")
-    lines = _sheet_chunks(parts).select(
+    rows = F.from_xml("xml", f"{_ROWS}, {_CORRUPT} string", CHECKED_XML)
+    wrong = F.concat(F.lit("malformed XML in "), F.col("part"), F.lit(", chunk "), F.col("chunk").cast("string"))
+    # A malformed chunk is one row with one empty cell.
+    empty = F.from_json(F.lit('[{"c":[{}]}]'), f"array<struct<_r:bigint,c:array<{_CELL}>>>")
+    parsed = _sheet_chunks(parts).withColumn("rows", rows).withColumn("fault", F.when(F.col(f"rows.{_CORRUPT}").isNotNull(), wrong))
+    lines = parsed.select(
         *SHEET, "items_before", F.coalesce(date1904, F.lit(False)).alias("date1904"),
-        _formats(F.col("styles_xml")).alias("formats"),
-        F.posexplode(F.from_xml("xml", _ROWS, XML_OPTIONS)["sheetData"]["row"]).alias("row_pos", "line"))
+        _formats(F.col("styles_xml")).alias("formats"), "fault",
+        F.posexplode(F.when(F.col("fault").isNotNull(), empty).otherwise(F.col("rows.sheetData.row"))).alias("row_pos", "line"))
     found = lines.select(
-        *SHEET, "date1904", "formats",
+        *SHEET, "date1904", "formats", "fault",
         F.coalesce("line._r", F.col("items_before") + F.col("row_pos") + 1).alias("row"),
         F.posexplode("line.c").alias("col_pos", "c"))
     v, kind = F.col("c.v"), F.coalesce("c._t", F.lit("n"))
     typed = found.select(
-        *SHEET, "row", F.coalesce(a1_col(F.col("c._r")), F.col("col_pos") + 1).alias("col"), kind.alias("t"), v.alias("v"),
+        *SHEET, "fault", "row", F.coalesce(a1_col(F.col("c._r")), F.col("col_pos") + 1).alias("col"), kind.alias("t"), v.alias("v"),
         _rich(F.col("c.is")).alias("inline"),
         # A follower of a shared formula has an empty element; it is a formula cell all the same.
         F.when(F.col("c.f").isNotNull(), F.coalesce("c.f._VALUE", F.lit(""))).alias("formula"),
@@ -295,8 +405,8 @@ def read_cells_of(parts: DataFrame) -> DataFrame:
     kinds = (
         F.when(ts.isNotNull(), "d").when(as_date, "s").when(F.col("t").isin("b", "e", "n"), F.col("t")).otherwise("s"))
     return joined.select(
-        *SHEET, "row", "col", F.nullif(raw, F.lit("")).alias("raw"), kinds.alias("kind"), ts.alias("ts"),
-        "formula", "number_format",
+        *SHEET, "row", "col", F.coalesce("fault", F.nullif(raw, F.lit(""))).alias("raw"),
+        F.when(F.col("fault").isNotNull(), FAULT).otherwise(kinds).alias("kind"), ts.alias("ts"), "formula", "number_format",
     ).filter(F.col("raw").isNotNull() | F.col("formula").isNotNull())
 
 
@@ -332,10 +442,29 @@ def range_edges(ref: Column) -> list[Column]:
         a1_col(first).alias("min_col"), a1_col(last).alias("max_col")]
 
 
-def ingest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cells, sheets, merged) of the workbooks of :func:`discover`."""
-    parts = settle(unzip(files))
-    parts = readable(parts, package_faults(parts))
-    cells = read_cells_of(parts)
-    return cells, read_sheets_of(parts, cells), read_merged_of(parts)
+@dataclass(frozen=True)
+class Ingested:
+    """What a set of packages holds, and what could not be read: ``faults`` is (workbook, sheet, fault), the sheet empty
+    where the fault is the package's."""
 
+    cells: DataFrame
+    sheets: DataFrame
+    merged: DataFrame
+    faults: DataFrame
+
+
+def ingest_parts(parts: DataFrame) -> Ingested:
+    """Cells, sheets, merged ranges and faults of :func:`unzip` or :func:`unzip_parts`."""
+    parts = settle(parts)
+    broken = package_faults(parts)
+    parts = readable(parts, broken)
+    checked = checked_cells_of(parts)
+    cells = true_cells(checked)
+    faults = broken.select("workbook", F.lit("").alias("sheet"), "fault").unionByName(chunk_faults(checked, parts))
+    return Ingested(cells, read_sheets_of(parts, cells), read_merged_of(parts), faults)
+
+
+def ingest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, sheets, merged) of the workbooks of :func:`discover`; :func:`ingest_parts` gives the faults as well."""
+    found = ingest_parts(unzip(files))
+    return found.cells, found.sheets, found.merged

@@ -133,3 +133,35 @@ def test_bad_packages_are_issues(spark, tmp_path):
     assert sorted(r.workbook for r in faults.collect()) == ["bad.xlsx", "cut.xlsx"]
     cells, sheets, _ = W.ingest(W.discover(spark, str(tmp_path)))
     assert {r.workbook for r in sheets.collect()} == {r.workbook for r in cells.collect()} == {"good.xlsx"}
+
+
+def test_parts_are_read_one_by_one(spark, folder):
+    """Listed and streamed part by part, a package gives the same rows; its parts spread over tasks."""
+    by = lambda parts: sorted((r.workbook, r.part, r.chunk, r.items_before, r.xml, r.styles_xml, r.fault) for r in parts.collect())
+    whole, files = W.unzip(W.discover(spark, str(folder))), W.discover_paths(spark, str(folder))
+    assert set(files.columns) == {"workbook", "path"}
+    parts = W.unzip_parts(files)
+    assert by(parts) == by(whole)
+    sheets = parts.filter("book_xml is not null").withColumn("task", W.F.spark_partition_id())
+    assert sheets.select("part").distinct().count() == 3 and parts.rdd.getNumPartitions() > 1
+
+
+def test_faults_of_packages_and_chunks(spark, tmp_path):
+    good = flat_sheet()
+    broken = good.replace("</v>", "", 1)
+    odd = good.replace('<row r="2"', '<row r="two"', 1)
+    (tmp_path / "a.xlsx").write_bytes(pack({"Good": good, "Broken": broken, "Odd": odd}, STRINGS, {}))
+    (tmp_path / "b.xlsx").write_bytes(b"no package")
+    cut = pack({"Good": good}, STRINGS, {})
+    (tmp_path / "c.xlsx").write_bytes(cut.replace(b"PK\x01\x02", b"PK\x01\x03"))
+    for parts in (W.unzip(W.discover(spark, str(tmp_path))), W.unzip_parts(W.discover_paths(spark, str(tmp_path)))):
+        found = W.ingest_parts(parts)
+        assert sorted((r.workbook, r.sheet) for r in found.faults.collect()) == [
+            ("a.xlsx", "Broken"), ("a.xlsx", "Odd"), ("b.xlsx", ""), ("c.xlsx", "")]
+        assert {(r.workbook, r.sheet) for r in found.cells.collect()} == {("a.xlsx", "Good")}
+
+
+def test_malformed_strings_are_a_fault(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(pack({"Good": flat_sheet()}, ["<si><t>open</si>", *list(STRINGS)[1:]], {}))
+    found = W.ingest_parts(W.unzip(W.discover(spark, str(tmp_path))))
+    assert [(r.workbook, r.sheet) for r in found.faults.collect()] == [("a.xlsx", "")]
