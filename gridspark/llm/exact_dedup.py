@@ -13,7 +13,7 @@ an empty report and appends nothing.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +29,46 @@ def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(plain_lower(F.coalesce(text, F.lit(""))), 256))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 class DigestIndex:
     """The digests kept so far and the document that stays for each, in a folder that outlives sessions.
 
-    ``buckets`` is fixed when the folder is made and must be given again to open it.
+    The number of buckets is fixed when the folder is made and stored in it. Opening takes the stored one; asking for
+    another is an error, since a bucket read with another layout would miss its digests. :meth:`copied` writes the
+    index anew, with more buckets or to have one file a bucket again.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int):
-        self.spark, self.folder, self.buckets = spark, folder, buckets
-        self.table = f"digest_index_{zlib.crc32(folder.encode()):08x}"
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
+        self.spark, self.folder = spark, folder
+        layout = f"{folder}/_layout"
+        if _exists(spark, layout):
+            stored = spark.read.schema("buckets int").json(layout).first()[0]
+            if buckets not in (None, stored):
+                raise ValueError(f"The index has {stored} buckets, not {buckets}: {folder}")
+            buckets = stored
+        elif buckets is None:
+            raise ValueError(f"There is no index yet: {folder}")
+        elif _exists(spark, folder):
+            raise ValueError(f"The folder holds something else: {folder}")
+        else:
+            spark.range(0, 1, 1, 1).select(F.lit(buckets).cast("int").alias("buckets")).write.json(layout)
+        self.buckets = buckets
+        self.table = f"digest_index_{hashlib.sha256(folder.encode()).hexdigest()[:40]}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{folder}'"
         )
 
+    def copied(self, folder: str, buckets: int | None = None) -> DigestIndex:
+        """The same entries in a new folder: one file a bucket, in as many buckets as before or as given."""
+        other = DigestIndex(self.spark, folder, buckets or self.buckets)
+        other.append(self.entries())
+        return other
+
     def entries(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)

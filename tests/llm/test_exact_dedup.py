@@ -74,3 +74,26 @@ def test_index_is_read_bucket_by_bucket(spark):
     groups = spark.createDataFrame([(b"x", 1)], "digest binary, keep_id long")
     plan = index.missing(groups)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_index_over_sessions_and_layouts(spark):
+    """An index is reopened as it was laid out, also by another catalog; another count is refused, a copy has it."""
+    docs = spark.createDataFrame([(i, f"text {i}", None, None) for i in range(2000)], SCHEMA)
+    run = Run(spark, "test")
+    folder = f"{run.folder}/index"
+    dedup(docs, DigestIndex(spark, folder, 8), run)
+    spark.sql(f"DROP TABLE {DigestIndex(spark, folder).table}")  # a catalog that has never seen it
+    again = DigestIndex(spark, folder)
+    assert again.buckets == 8
+    with pytest.raises(ValueError):
+        DigestIndex(spark, folder, 16)
+    with pytest.raises(ValueError):
+        DigestIndex(spark, f"{run.folder}/nowhere")
+    with pytest.raises(ValueError):
+        DigestIndex(spark, run.folder, 8)
+    more = spark.createDataFrame([(i, f"text {i - 10_000}", None, None) for i in range(10_000, 12_100)], SCHEMA)
+    assert dedup(more, again, Run(spark, "test")).where("kept").count() == 100
+    wide = again.copied(f"{run.folder}/wide", 16)
+    assert wide.buckets == 16 and wide.entries().count() == 2100
+    assert dedup(more, wide, Run(spark, "test")).where("kept").count() == 100
+    assert dedup(docs, wide, Run(spark, "test")).where("not kept").count() == 0
