@@ -116,9 +116,11 @@ def _sample_windows(batches):
             k = ragged(np.zeros(len(take), np.int64), take)
             of = np.repeat(np.arange(len(take)), take)
             chosen = windows[(np.cumsum(counts) - counts)[of] + (2 * k + 1) * counts[of] // (2 * take[of])]
+            ends = np.cumsum(take)
             yield pa.RecordBatch.from_arrays(
-                [part.column("lang").take(pa.array(of)), pa.array([w.tobytes() for w in chosen.astype(np.uint8)], pa.binary())],
-                ["lang", "window"],
+                [*(part.column(name) for name in ("doc_id", "lang", "name")),
+                 pa.array([chosen[e - n : e].astype(np.uint8).tobytes() for n, e in zip(take, ends, strict=True)], pa.binary())],
+                ["doc_id", "lang", "name", "windows"],
             )
 
 
@@ -127,21 +129,31 @@ def train(rows: DataFrame) -> ByteNet | None:
 
     The sample takes the same number of rows of each language, as far as there are, in the order of a hash.
     """
+    usable = rows.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    known = usable.select("doc_id", "lang").distinct()
+    # Ids below a threshold of the hash, some three times as many as are wanted of a language, so that no window
+    # holds a large language. The counts are one row a language, and at most SAMPLE_ROWS languages can be sampled.
+    counts = known.groupBy("lang").count().orderBy("lang").limit(SAMPLE_ROWS)
+    place = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
+    near = known.join(F.broadcast(counts), "lang").where(place * F.col("count") < 3 * SAMPLE_OF_LANGUAGE)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    usable = rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     ids = (
-        usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
+        near.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= SAMPLE_OF_LANGUAGE).orderBy("rank", "lang").limit(SAMPLE_ROWS).select("doc_id", "lang")
     )
-    # At most SAMPLE_ROWS keys: a bounded broadcast keeps the texts in place.
-    texts = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
-    sample = texts.select("lang", "text").mapInArrow(_sample_windows, "lang string, window binary").collect()
+    # At most SAMPLE_ROWS keys: a bounded broadcast keeps the texts in place. Of rows that repeat a key one is taken,
+    # the least by the hash of its text.
+    texts = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").withColumn("name", F.xxhash64("text"))
+    found = texts.mapInArrow(_sample_windows, "doc_id long, lang string, name long, windows binary")
+    one = found.groupBy("doc_id", "lang").agg(F.min(F.struct("name", "windows"))["windows"].alias("windows"))
+    sample = [(r.lang, w) for r in one.collect() for w in (bytes(r.windows)[i : i + LENGTH] for i in range(0, len(r.windows), LENGTH))]
     if not sample:
         return None
     sample.sort()
-    languages = sorted({r.lang for r in sample})
-    windows = np.frombuffer(b"".join(bytes(r.window) for r in sample), np.uint8).reshape(-1, LENGTH)
-    wanted = np.array([languages.index(r.lang) for r in sample])
+    languages = sorted({lang for lang, _ in sample})
+    windows = np.frombuffer(b"".join(window for _, window in sample), np.uint8).reshape(-1, LENGTH)
+    wanted = np.array([languages.index(lang) for lang, _ in sample])
     share = np.bincount(wanted, minlength=len(languages)) / len(wanted)
     weight = (1 / (share * len(languages)))[wanted].astype(np.float32)
     net, rng = ByteNet.fresh(languages), np.random.default_rng(1)

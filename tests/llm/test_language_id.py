@@ -61,3 +61,15 @@ def test_nothing_to_learn_from(spark):
     one = train(spark.createDataFrame([(1, "text", "en", None)], SCHEMA))
     assert [(r.lang_pred, round(r.score, 6)) for r in predict(docs, one).collect()] == [("en", 1.0)]
     assert predict(docs.limit(0), one).collect() == []
+
+
+def test_repeated_rows_do_not_grow_the_sample(spark, monkeypatch):
+    """One id that repeats 30,000 times lends one text; the windows that reach the driver stay below the bound."""
+    rows = [(7, f"the same words {i}", "en") for i in range(30_000)] + [(i, f"some other words of number {i}", "en") for i in range(100, 400)]
+    rows += [(i, f"encore des mots du document {i}", "fr") for i in range(1000, 1300)]
+    seen = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    net = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    monkeypatch.undo()
+    assert net.languages == ["en", "fr"] and max(len(s) for s in seen) == 601
