@@ -142,14 +142,16 @@ def train(docs: DataFrame, labels: DataFrame) -> GatedBags | float:
     # A sort with a limit keeps no more than the sample in any task, however large a label is.
     some = lambda label: known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_OF_LABEL)
     ids = some(0).unionByName(some(1)).select("doc_id", "quality")
-    # Two labels of at most SAMPLE_OF_LABEL rows each: a bounded broadcast keeps the texts in place.
-    sample = usable.join(F.broadcast(ids), "doc_id").select("text", "quality").mapInArrow(_bags, "quality int, token binary").collect()
+    # Two labels of at most SAMPLE_OF_LABEL ids each: a bounded broadcast keeps the other texts in place. Of rows that
+    # repeat an id one text is taken, the least by its hash.
+    texts = usable.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+    sample = texts.select("t.text", "quality").mapInArrow(_bags, "quality int, token binary").collect()
     wanted = np.array([r.quality for r in sample], np.float32)
     if not len(sample) or wanted.min() == wanted.max():
         return float(wanted.mean()) if len(sample) else 0.5
     sample.sort()
     wanted = np.array([r.quality for r in sample], np.float32)
-    bags = [np.frombuffer(bytes(r.token), np.uint16).reshape(-1, 2).astype(np.int64) for r in sample]
+    bags = [np.frombuffer(bytes(r.token), np.uint16).reshape(-1, 2) for r in sample]
     ones = wanted.mean()
     weight = np.where(wanted == 1, 0.5 / ones, 0.5 / (1 - ones)).astype(np.float32)
     net, rng = GatedBags.fresh(), np.random.default_rng(1)
@@ -160,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame) -> GatedBags | float:
             b = order[i : i + BATCH]
             counts = np.array([len(bags[k]) for k in b])
             passage, document = passages(Words(None, None, None, np.concatenate(([0], np.cumsum(counts)))))
-            steps.step(net.gradients(np.concatenate([bags[k] for k in b]), passage, document, wanted[b], weight[b]))
+            steps.step(net.gradients(np.concatenate([bags[k] for k in b]).astype(np.int64), passage, document, wanted[b], weight[b]))
     return net
 
 

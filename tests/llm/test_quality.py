@@ -66,3 +66,15 @@ def test_nothing_to_learn_from(spark, labels, wanted):
     net = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
     assert [r.score for r in quality.score(docs, net).collect()] == [wanted] * 2
     assert quality.score(docs.limit(0), quality.GatedBags.fresh()).collect() == []
+
+
+def test_repeated_rows_do_not_grow_the_sample(spark, monkeypatch):
+    """One id that repeats 30,000 times lends one text."""
+    rows = [(7, f"the same words {i}") for i in range(30_000)] + [(i, f"some other words of number {i}") for i in range(100, 200)]
+    labels = spark.createDataFrame([(7, 1), *((i, i % 2) for i in range(100, 200))], "doc_id long, quality int")
+    seen = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    monkeypatch.undo()
+    assert max(len(s) for s in seen) == 101
