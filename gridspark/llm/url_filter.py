@@ -20,6 +20,8 @@ first entry a key has none. Repeated captures get a decision each. Extra columns
 
 from __future__ import annotations
 
+import json
+
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -78,12 +80,15 @@ def decide(captures: DataFrame, entries: DataFrame, run: Run) -> DataFrame:
     lookups = sites.select("_site", "day", F.explode(keys).alias("key"))
     month = lambda d: F.trunc(d, "month")
     asked = run.write(lookups.select("key", "day").distinct().withColumn("month", month(F.col("day"))), "asked")
-    span = asked.agg(F.min("day"), F.max("day")).first()
+    # As texts, since a day may lie outside of what Python's dates hold.
+    span = asked.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
     low, high = F.lit(span[0]).cast("date"), F.lit(span[1]).cast("date")
+    # Only months that are asked for are looked at; the calendar has a few thousand at most.
+    months = F.from_json(F.lit(json.dumps([r.month for r in asked.select(F.col("month").cast("string")).distinct().collect()])), "array<string>")
     valid = (
         intervals(entries).where((F.col("since") <= high) & (F.coalesce(F.col("until"), F.date_add(high, 1)) > low))
-        .withColumn("month", F.explode(F.sequence(
-            month(F.greatest("since", low)), month(F.least(F.date_sub(F.coalesce("until", F.date_add(high, 1)), 1), high)), F.expr("interval 1 month"))))
+        .withColumn("month", F.explode(F.filter(F.transform(months, lambda m: m.cast("date")), lambda m: m.between(
+            month(F.greatest("since", low)), month(F.least(F.date_sub(F.coalesce("until", F.date_add(high, 1)), 1), high))))))
     )
     active = asked.join(valid, ["key", "month"]).where(
         (F.col("since") <= F.col("day")) & (F.col("until").isNull() | (F.col("day") < F.col("until")))).select("key", "day", "action", "since")

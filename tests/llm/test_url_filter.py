@@ -73,3 +73,13 @@ def test_empty(spark, entries):
 def test_query_equals_sql(spark):
     tables = "/root/testdata/sf0.01"
     assert oracle.compare(url_filter.op4_url_filter(spark, tables), tables, url_filter.OP4_SQL) is None
+
+
+def test_days_of_any_year(spark):
+    """Captures of year 1 and of today, and an entry that lasts between them."""
+    days = [datetime.date(1, 1, 1), datetime.date(999, 12, 31), DAY]
+    captures = spark.createDataFrame([(f"http://a.org/{i}", d, None, i) for i, d in enumerate(days)], CAPTURES)
+    entries = spark.createDataFrame([("d:a.org", "block", datetime.date(500, 1, 1), None)], ENTRIES)
+    got = {r._x: (r.action, str(r.rule_since)) for r in url_filter.decide(captures, entries, Run(spark, "t")).select(
+        "_x", "action", url_filter.F.col("rule_since").cast("string").alias("rule_since")).collect()}
+    assert got == {0: ("allow", "None"), 1: ("block", "0500-01-01"), 2: ("block", "0500-01-01")}
