@@ -32,13 +32,14 @@ MONTH_ABBREVIATIONS = (
     "juil", "août", "sept", "oct", "nov", "déc",
 )
 
-# What separates a month word from its year, and years of this century.
-MONTH_SEPARATOR = r"[\s./-]+"
-CENTURY_YEAR = r"20\d{2}"
+# Signs between a month word and its year, and the century of a year.
+MONTH_GAP = r"\s./-"
+CENTURY = "20"
 
-# What a number format shows literally, and the placeholder that scales by a thousand.
-FORMAT_LITERALS = (r'"[^"]*"', r"\\.")
-THOUSANDS_SCALE = r"[0#?],(?:\s*[^0#?.,%]|\s*$)"
+# What a number format shows literally, its placeholders, and what may follow the comma that scales by a thousand.
+FORMAT_LITERALS = (r'"[^"]*"', r'\\(?:"[^"]*")*+.')
+PLACEHOLDER = "[0#?]"
+AFTER_SCALE = "[^0#?.,%]"
 
 # A number in scientific notation.
 SCIENTIFIC = r"^[+-]?(?:\d+(?:\.\d*)?|\.\d+)[Ee][+-]?\d+$"

@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from gridspark.fixed import ERROR_LITERALS, FORMAT_LITERALS, NOT_SIGNIFICANT, SCIENTIFIC, THOUSANDS_SCALE
+from gridspark.fixed import AFTER_SCALE, ERROR_LITERALS, FORMAT_LITERALS, NOT_SIGNIFICANT, PLACEHOLDER, SCIENTIFIC
+from gridspark.functions.binding import let
 from gridspark.functions.text import strip_space
 
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 # Numbers whose decimals hold them whole, also after x100 and /1000: twelve integer digits, eighteen decimals.
 _ORDINARY = r"^[+-]?(?=\.?\d)0*\d{0,12}(?:\.\d{0,18}0*)?$"
 
+# One scan over a section of a number format, literals taken whole: a placeholder, a comma, and then the end or a sign
+# that is neither a placeholder nor a separator.
+_LITERAL = f"(?:{'|'.join(FORMAT_LITERALS)})"
+_SCALES = f"(?s)^(?>{_LITERAL}|.)*?{PLACEHOLDER}{_LITERAL}*+,{_LITERAL}*+(?:{AFTER_SCALE}|$)"
+
 NUM_TYPE = "decimal(30,18)"
 # Numbers after scaling: 17 integer digits, 21 decimals.
 SCALED_TYPE = "decimal(38,21)"
@@ -39,15 +45,6 @@ def to_number(raw: Column, kind: Column | None = None) -> Column:
     return num
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it.
-
-    What stands in ``body`` is not compiled with the expressions around it. It is for rare values: these would grow
-    beyond what the compiler takes.
-    """
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def to_digits(raw: Column, kind: Column | None = None) -> Column:
     """Exact text, in plain notation, of a number of any length that :func:`to_number` does not hold, else NULL."""
     return _long(raw, kind, lambda digits: digits)
@@ -59,8 +56,8 @@ def _long(raw: Column, kind: Column | None, body: Callable[[Column], Column]) ->
     tried = raw.rlike(r"\d.{11}|\.\d+\d{18}|\d\.?[eE][+-]?\d")
     if kind is not None:
         tried = tried & ~F.coalesce(kind == "b", F.lit(False))
-    return F.when(tried, _let(_plain(raw), lambda p: F.when(
-        p.rlike(_NUMBER) & ~p.rlike(_ORDINARY), _let(canonical_digits(plain_notation(p)), body))))
+    return F.when(tried, let(_plain(raw), lambda p: F.when(
+        p.rlike(_NUMBER) & ~p.rlike(_ORDINARY), let(canonical_digits(plain_notation(p)), body))))
 
 
 def to_measure(raw: Column, kind: Column | None = None) -> Column:
@@ -122,10 +119,7 @@ def round_digits(digits: Column, places: int) -> Column:
 
 def has_thousands(number_format: Column) -> Column:
     """The first section of a number format scales by a thousand (``#,##0,``)."""
-    shown = F.split_part(number_format, F.lit(";"), F.lit(1))
-    for literal in FORMAT_LITERALS:
-        shown = F.regexp_replace(shown, literal, "")
-    return F.coalesce(shown.rlike(THOUSANDS_SCALE), F.lit(False))
+    return F.coalesce(F.split_part(number_format, F.lit(";"), F.lit(1)).rlike(_SCALES), F.lit(False))
 
 
 def has_percent(number_format: Column) -> Column:
@@ -148,7 +142,7 @@ def _hundredfold(num: Column, number_format: Column) -> Column:
 def _moved(measure: Column, when: Column, places: int, num: Column) -> Column:
     """The measure with its point moved where a condition holds; ``num`` is what an ordinary number becomes."""
     digits = measure["digits"]
-    digits = F.when(digits.isNotNull(), F.when(when, _let(digits, lambda d: moved_point(d, places))).otherwise(digits))
+    digits = F.when(digits.isNotNull(), F.when(when, let(digits, lambda d: moved_point(d, places))).otherwise(digits))
     return _measure(F.when(digits.isNull(), num.cast(SCALED_TYPE)).otherwise(digits.try_cast(SCALED_TYPE)), digits, measure["flag"])
 
 
@@ -194,7 +188,7 @@ def percentage_of(cell: Column) -> Column:
 
 
 def _rounded_digits(digits: Column, places: int) -> Column:
-    return F.when(digits.isNotNull(), _let(digits, lambda d: round_digits(d, places)))
+    return F.when(digits.isNotNull(), let(digits, lambda d: round_digits(d, places)))
 
 
 def rounded(measure: Column, places: int) -> Column:
@@ -247,9 +241,9 @@ def plain_notation(text: Column) -> Column:
         part = lambda i: F.regexp_extract(t, r"^[+-]?(\d*)\.?(\d*)[eE]([+-]?\d+)$", i)
         parts = F.struct(part(1).alias("whole"), part(2).alias("tail"), part(3).try_cast("int").alias("exponent"))
         sign = F.when(F.startswith(t, F.lit("-")), "-").otherwise("")
-        return F.concat(sign, _let(parts, lambda p: _pointed(F.concat(p["whole"], p["tail"]), F.length(p["whole"]) + p["exponent"])))
+        return F.concat(sign, let(parts, lambda p: _pointed(F.concat(p["whole"], p["tail"]), F.length(p["whole"]) + p["exponent"])))
 
-    return F.when(F.regexp_like(text, F.lit(SCIENTIFIC)), _let(text, shifted)).otherwise(text)
+    return F.when(F.regexp_like(text, F.lit(SCIENTIFIC)), let(text, shifted)).otherwise(text)
 
 
 def _pointed(digits: Column, point: Column) -> Column:
@@ -258,9 +252,9 @@ def _pointed(digits: Column, point: Column) -> Column:
         # Zeros in front as many as the point lies before the digits, behind as many as it lies after them.
         longer = F.concat(F.repeat(F.lit("0"), F.greatest(1 - p["point"], F.lit(0))), F.rpad(p["digits"], F.greatest(p["point"], F.length(p["digits"])), "0"))
         point = F.greatest(p["point"], F.lit(1))
-        return canonical_digits(_let(longer, lambda d: F.concat(F.substr(d, F.lit(1), point), F.lit("."), F.substr(d, point + 1))))
+        return canonical_digits(let(longer, lambda d: F.concat(F.substr(d, F.lit(1), point), F.lit("."), F.substr(d, point + 1))))
 
-    return _let(F.struct(digits.alias("digits"), point.alias("point")), of)
+    return let(F.struct(digits.alias("digits"), point.alias("point")), of)
 
 
 def is_error(raw: Column) -> Column:

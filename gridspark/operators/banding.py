@@ -53,6 +53,17 @@ def meet(rows: DataFrame, facts: DataFrame, keys: Sequence[str], order: str = "r
     return placed.join(spots, [*keys, "_band"]).drop("_band")
 
 
+SALTS = 32
+
+
+def look_up(rows: DataFrame, rules: DataFrame, key: str, spread: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rules, some per key, to rows of which a key may hold very many: rules stand once per salt, and a row takes
+    the salt of its ``spread`` columns, so no exchange is on the key alone."""
+    salted = rules.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return placed.join(salted, [key, "_salt"], how).drop("_salt")
+
+
 def running(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], *,
             latest: Mapping[str, Column] | None = None,
             counted: Mapping[str, Column] | None = None) -> DataFrame:

@@ -83,7 +83,7 @@ def check_table(name: str, rows: DataFrame, routed: DataFrame) -> DataFrame:
     required = F.array(*[F.lit(c) for c in fixed.HEADERS["details"]])
     lacking = detailed.filter(F.size(F.array_except(required, F.col("names"))) > 0)
     missing = lacking.select(*SHEET).distinct().select(
-        *issue("schema", "details header requires all required fields", stage=VALIDATE))
+        *issue("schema", "header lacks a required detail field", stage=VALIDATE))
     return union_all([TABLES[name].check(detailed), missing])
 
 

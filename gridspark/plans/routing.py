@@ -15,6 +15,7 @@ from gridspark import fixed
 from gridspark.functions.coords import col_index
 from gridspark.functions.text import sheet_key
 from gridspark.model import SHEET, VALIDATE, issue
+from gridspark.operators.banding import look_up
 
 FAMILIES = (
     fixed.ACTIVITY, fixed.SUMMARY, fixed.QUARTERLY, fixed.DETAILS,
@@ -188,10 +189,10 @@ def effective_rules(wanted: DataFrame, structures: DataFrame, workbooks: DataFra
     own = structures.filter("workbook_key is not null").select(
         "workbook_key", "sheet_key", F.col("structure").alias("_own"))
     base = F.when(F.coalesce("_inherits", F.lit(True)), F.col("_base"))
+    # Names of sheets repeat over workbooks, and a few may stand in nearly all of them.
+    with_defaults = look_up(look_up(wanted, books, "workbook_key", ["sheet_key"]), defaults, "sheet_key", ["workbook_key"])
     return (
-        wanted.join(books, "workbook_key", "left")
-        .join(defaults, "sheet_key", "left")
-        .join(own, ["workbook_key", "sheet_key"], "left")
+        with_defaults.join(own, ["workbook_key", "sheet_key"], "left")
         .withColumn("structure", F.when(base.isNotNull() | F.col("_own").isNotNull(),
                                         merge_structures(base, F.col("_own"))))
         .withColumn("entries", F.coalesce("entries", F.lit(1)))
@@ -211,12 +212,8 @@ def route_report(sheets: DataFrame, rules: Rules) -> DataFrame:
         rules.owners.filter("enabled").groupBy("sheet_key")
         .agg(F.array_sort(F.collect_set("family")).alias("owner_families"), F.count("*").alias("_owned"))
     )
-    indexed = (
-        sheet_index(sheets)
-        .withColumn("workbook_key", sheet_key(F.col("workbook")))
-        .join(books, "workbook_key", "left")
-        .join(owners, "sheet_key", "left")
-    )
+    keyed = sheet_index(sheets).withColumn("workbook_key", sheet_key(F.col("workbook")))
+    indexed = look_up(look_up(keyed, books, "workbook_key", SHEET), owners, "sheet_key", SHEET)
     allowed = F.filter("owner_families", lambda f: F.coalesce(
         F.array_contains("enabled_families", f), F.lit(True)))
     indexed = indexed.withColumn("families", F.when(F.col("owner_families").isNotNull(), allowed))
@@ -241,13 +238,11 @@ def route_report(sheets: DataFrame, rules: Rules) -> DataFrame:
 def _not_found(known: DataFrame, rules: Rules, books: DataFrame) -> DataFrame:
     """Configured names that a workbook lacks: its enabled families' names without its sheets."""
     every = F.array(*[F.lit(f) for f in FAMILIES])
-    expected = (
-        known.select("workbook").distinct()
-        .withColumn("workbook_key", sheet_key(F.col("workbook")))
-        .join(books, "workbook_key", "left")
-        .select("workbook", F.explode(F.coalesce("enabled_families", every)).alias("family"))
-        .join(rules.owners.filter("enabled").select("family", "sheet_key").distinct(), "family")
-    )
+    named = known.select("workbook").distinct().withColumn("workbook_key", sheet_key(F.col("workbook")))
+    enabled = look_up(named, books, "workbook_key", ["workbook"]).select(
+        "workbook", F.explode(F.coalesce("enabled_families", every)).alias("family"))
+    # A family is of nearly every workbook.
+    expected = look_up(enabled, rules.owners.filter("enabled").select("family", "sheet_key").distinct(), "family", ["workbook"], "inner")
     return expected.join(known.select("workbook", "sheet_key"), ["workbook", "sheet_key"], "left_anti").select(
         "workbook", "sheet_key", "family", F.lit("not_found").alias("outcome"))
 

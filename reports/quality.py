@@ -119,22 +119,22 @@ def domain_checks(spark, sf_dir):
 _DOMAIN_SQL = """
 WITH e AS (SELECT CAST(user_id AS VARCHAR) AS sheet, event_type AS t FROM events),
 f AS (
-  SELECT sheet, 'penetration' AS family, 'dimension' AS kind, 'invalid dimension' AS message FROM e WHERE t = 'error'
-  UNION ALL SELECT sheet, 'penetration', 'dimension', 'VILLE dimension must not contain a marque' FROM e WHERE t = 'signup'
-  UNION ALL SELECT sheet, 'penetration', 'label', 'missing label or exported total' FROM e WHERE t = 'purchase'
-  UNION ALL SELECT sheet, 'penetration', 'periodicite', 'invalid periodicite' FROM e WHERE t = 'error'
-  UNION ALL SELECT sheet, 'penetration', 'axis', 'missing penetration axis or sub-axis' FROM e WHERE t = 'click'
-  UNION ALL SELECT sheet, 'penetration', 'measure', 'valeur must be a finite number' FROM e WHERE t = 'view'
-  UNION ALL SELECT sheet, 'concession', 'group', 'missing concession group or integer year' FROM e WHERE t = 'click'
-  UNION ALL SELECT sheet, 'concession', 'row_type', 'invalid concession row_type or marque' FROM e WHERE t = 'purchase'
-  UNION ALL SELECT sheet, 'concession', 'measure', m || ' must be a finite number' FROM e, (VALUES ('aivam'), ('sofac'), ('total')) v(m) WHERE t = 'view'
-  UNION ALL SELECT sheet, 'pivot_staging', 'dimension', 'invalid synthesis dimension' FROM e WHERE t = 'error'
-  UNION ALL SELECT sheet, 'pivot_staging', 'dimension', 'VILLE dimension must not contain a marque' FROM e WHERE t = 'signup'
-  UNION ALL SELECT sheet, 'pivot_staging', 'organisme', 'missing synthesis organisme' FROM e
-  UNION ALL SELECT sheet, 'pivot_staging', 'axis', 'invalid synthesis axis or periodicite' FROM e WHERE t IN ('error', 'click')
-  UNION ALL SELECT sheet, 'pivot_staging', 'measure', 'valeur must be a finite number' FROM e WHERE t = 'view'
-  UNION ALL SELECT sheet, 'variation', 'city', 'missing Variation TPR city' FROM e WHERE t = 'error'
-  UNION ALL SELECT sheet, 'variation', 'measure', 'valeur must be a finite number' FROM e WHERE t = 'view')
+  SELECT sheet, 'penetration' AS family, 'dimension' AS kind, 'dimension is neither brand nor city' AS message FROM e WHERE t = 'error'
+  UNION ALL SELECT sheet, 'penetration', 'dimension', 'a brand stands in a city row' FROM e WHERE t = 'signup'
+  UNION ALL SELECT sheet, 'penetration', 'label', 'row without a label, or a total row' FROM e WHERE t = 'purchase'
+  UNION ALL SELECT sheet, 'penetration', 'periodicite', 'unknown periodicity' FROM e WHERE t = 'error'
+  UNION ALL SELECT sheet, 'penetration', 'axis', 'axis or sub-axis is blank' FROM e WHERE t = 'click'
+  UNION ALL SELECT sheet, 'penetration', 'measure', 'valeur is neither a number nor a known marker' FROM e WHERE t = 'view'
+  UNION ALL SELECT sheet, 'concession', 'group', 'no concession group, or no whole year' FROM e WHERE t = 'click'
+  UNION ALL SELECT sheet, 'concession', 'row_type', 'row type does not fit the brand' FROM e WHERE t = 'purchase'
+  UNION ALL SELECT sheet, 'concession', 'measure', m || ' is neither a number nor a known marker' FROM e, (VALUES ('aivam'), ('sofac'), ('total')) v(m) WHERE t = 'view'
+  UNION ALL SELECT sheet, 'pivot_staging', 'dimension', 'block dimension is neither brand nor city' FROM e WHERE t = 'error'
+  UNION ALL SELECT sheet, 'pivot_staging', 'dimension', 'a brand stands in a city row' FROM e WHERE t = 'signup'
+  UNION ALL SELECT sheet, 'pivot_staging', 'organisme', 'block row without an organisation' FROM e
+  UNION ALL SELECT sheet, 'pivot_staging', 'axis', 'block axis is blank or its periodicity unknown' FROM e WHERE t IN ('error', 'click')
+  UNION ALL SELECT sheet, 'pivot_staging', 'measure', 'valeur is neither a number nor a known marker' FROM e WHERE t = 'view'
+  UNION ALL SELECT sheet, 'variation', 'city', 'rate row without a city' FROM e WHERE t = 'error'
+  UNION ALL SELECT sheet, 'variation', 'measure', 'valeur is neither a number nor a known marker' FROM e WHERE t = 'view')
 SELECT sheet, kind, message, count(*) AS n, family FROM f GROUP BY ALL
 """
 
@@ -161,9 +161,9 @@ _AUDIT_SQL = """
 WITH c AS (SELECT DISTINCT 's' || l_suppkey AS sheet, l_orderkey, l_linenumber,
     CASE l_returnflag WHEN 'A' THEN '#div/0!' WHEN 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS raw,
     CASE WHEN l_linestatus = 'O' THEN 'A1*#Ref!+#N/A+' || l_partkey WHEN l_quantity > 25 THEN 'B2*2' END AS formula FROM lineitem WHERE l_linenumber <= 5),
-i AS (SELECT sheet, 'error_value' AS kind, 'error detected: #div/0!' AS message, 'reject' AS policy FROM c WHERE raw = '#div/0!'
-  UNION ALL SELECT sheet, 'formula_error', 'formula error reference: #N/A,#REF!', 'reject' FROM c WHERE formula LIKE 'A1%'
-  UNION ALL SELECT sheet, 'missing_cache', 'missing cached formula value', 'warning' FROM c WHERE formula IS NOT NULL AND raw IS NULL)
+i AS (SELECT sheet, 'error_value' AS kind, 'error value #div/0!' AS message, 'reject' AS policy FROM c WHERE raw = '#div/0!'
+  UNION ALL SELECT sheet, 'formula_error', 'formula names an error: #N/A,#REF!', 'reject' FROM c WHERE formula LIKE 'A1%'
+  UNION ALL SELECT sheet, 'missing_cache', 'formula without a stored value', 'warning' FROM c WHERE formula IS NOT NULL AND raw IS NULL)
 SELECT sheet, kind, message, policy, count(*) AS n FROM i GROUP BY ALL
 """
 
