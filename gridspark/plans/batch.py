@@ -23,7 +23,7 @@ from gridspark.plans.competitor import extract_quarterly, extract_staging, extra
 from gridspark.plans.details import details_lines, extract_details
 from gridspark.plans.penetration import extract_penetration
 from gridspark.plans.pivots import extract_concession, extract_pivot_staging
-from gridspark.plans.routing import Rules, route_report, routing_issues, setting
+from gridspark.plans.routing import Rules, check_rules, route_report, routing_issues, setting
 from gridspark.plans.variation import extract_variation
 from gridspark.sinks.reports import manifest, write_manifest, write_rejections
 from gridspark.sinks.snapshots import read_snapshot, snapshot, write_snapshot
@@ -95,6 +95,9 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     ``previous`` is the output of the run before: the snapshot refers to it, or to what it refers to, for all that this
     run did not judge. Packages are ``streamed`` part by part; for a store that only Spark can open, say False.
     """
+    faults = check_rules(rules).orderBy("check", "subject").limit(20).collect()
+    if faults:
+        raise ValueError("Faulty rules: " + "; ".join(f"{f.check} {f.subject}: {f.message}" for f in faults))
     started = datetime.now(timezone.utc).isoformat()
     work = stage_folder(spark, output)
     whole = unzip_parts(discover_paths(spark, input_path)) if streamed else unzip(discover(spark, input_path))
@@ -112,6 +115,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
         "merged": staged(read_merged_of(parts), f"{work}/merged"),
         "page_filters": staged(page_filters(parts), f"{work}/page_filters"),
     }
+    # Formulas and errors are few; they are asked about, and no list of all visited cells is made.
+    suspect = staged(checks.suspects(cells), f"{work}/suspects")
     results: dict[str, DataFrame] = {}
     # A package that cannot be read has no sheets; its issue names the workbook alone.
     unread = broken.withColumn("sheet", F.lit("")).select(*issue("package", F.col("fault")))
@@ -121,7 +126,7 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
     for name, table in ((n, t) for n, t in TABLES.items() if t.family in present):
         extraction = table.extract(cells, routed, *[side[s] for s in table.side])
         rows = staged(extraction.rows, f"{work}/rows/{name}")
-        audit = checks.audit(cells, extraction.footprint, rules.error_policy, rules.missing_cache_policy)
+        audit = checks.audit(suspect, extraction.visits(suspect), rules.error_policy, rules.missing_cache_policy)
         found = union_all([extraction.issues, audit, check_table(name, rows, routed)])
         issues.append(staged(found, f"{work}/issues/{name}"))
         results[name] = rows

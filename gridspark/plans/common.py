@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -15,11 +15,22 @@ from gridspark.plans.routing import setting, setting_area, setting_int
 
 
 class Extraction(NamedTuple):
-    """Typed rows of a family (with workbook, sheet and source row), issues, and visited cells."""
+    """Typed rows of a family (with workbook, sheet and source row), issues, and what it looks at.
+
+    ``visits`` gives, of any of the sheets' cells, the (workbook, sheet, row, col) that the extractor visits: by tests
+    of rows and columns against layouts and kept rows, so that an audit of few cells never lists all visited ones.
+    """
 
     rows: DataFrame
     issues: DataFrame
-    footprint: DataFrame
+    visits: Callable[[DataFrame], DataFrame]
+
+
+def among(cells: DataFrame, kept: DataFrame) -> DataFrame:
+    """(workbook, sheet, row, col) of the cells that stand in kept row records (with ``cells`` MAP<col, cell>)."""
+    records = kept.select(*SHEET, "row", F.map_keys("cells").alias("_cols"))
+    return cells.select(*SHEET, "row", "col").join(records, [*SHEET, "row"]).where(
+        F.array_contains("_cols", F.col("col"))).select(*SHEET, "row", "col")
 
 
 def of_family(routed: DataFrame, family: str) -> DataFrame:

@@ -16,7 +16,7 @@ from gridspark.operators.blocks import (
 from gridspark.operators.grid import at, banded, unpivot_measures, until_total, with_layout
 from gridspark.operators.select import find_cells
 from gridspark.operators.settling import settle
-from gridspark.plans.common import Extraction, of_family, sheet_issues, union_all
+from gridspark.plans.common import Extraction, among, of_family, sheet_issues, union_all
 from gridspark.plans.routing import setting, setting_int, setting_list
 
 ZONE_PREFIX = "TPR "
@@ -95,8 +95,7 @@ def extract_pivot_staging(cells: DataFrame, routed: DataFrame, page_filters: Dat
         clean_text(F.col("measure.raw")).alias("organisme"),
         measure_of(F.col("cell")).alias("valeur"),
     )
-    footprint = _block_footprint(cells, blocks, lines)
-    return Extraction(rows, union_all([faults, stops]), footprint)
+    return Extraction(rows, union_all([faults, stops]), lambda some: _block_footprint(some, blocks, lines))
 
 
 def _block_footprint(cells: DataFrame, blocks: DataFrame, lines: DataFrame) -> DataFrame:
@@ -107,8 +106,7 @@ def _block_footprint(cells: DataFrame, blocks: DataFrame, lines: DataFrame) -> D
             F.col("header_row"))).alias("row"), "label_col", "last_col",
     ).select(*SHEET, "row", F.explode(F.sequence("label_col", "last_col")).alias("col"))
     above = cells.select(*SHEET, "row", "col").join(searched, [*SHEET, "row", "col"])
-    below = lines.select(*SHEET, "row", F.explode(F.map_keys("cells")).alias("col"))
-    return above.unionByName(below)
+    return above.unionByName(among(cells, lines))
 
 
 def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
@@ -160,8 +158,9 @@ def extract_concession(cells: DataFrame, routed: DataFrame) -> Extraction:
         measure("AIVAM").alias("aivam"), measure("SOFAC").alias("sofac"), measure("TOTAL_GENERAL").alias("total"),
         F.when(total, "total").otherwise("marque").alias("row_type"),
     )
-    footprint = _block_footprint(cells, blocks, lines).unionByName(markers.select(*SHEET, "row", "col"))
+    marked = markers.select(*SHEET, "row", "col")
+    visits = lambda some: _block_footprint(some, blocks, lines).unionByName(some.join(marked, [*SHEET, "row", "col"], "left_semi").select(*SHEET, "row", "col"))
     stops = blank_label_stops(cells, blocks.join(totals, BLOCK, "left_anti"), lines).select(*issue(
         "blank_label", "empty label with cached measures", row=F.col("row"), col=F.col("label_col"), policy="warning"))
-    return Extraction(rows, union_all([faults, stops]), footprint)
+    return Extraction(rows, union_all([faults, stops]), visits)
 

@@ -13,7 +13,7 @@ from gridspark.model import SHEET
 from gridspark.operators.banding import contiguous_prefix
 from gridspark.operators.grid import align_periods, at, banded, head, head_at, sheet_rows, with_layout
 from gridspark.operators.settling import settle
-from gridspark.plans.common import Extraction, of_family, sheet_issues, union_all
+from gridspark.plans.common import Extraction, among, of_family, sheet_issues, union_all
 from gridspark.plans.routing import setting_list
 
 _TABLE = (
@@ -92,7 +92,6 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
         *TABLE, "row", clean_text(at(F.col("cells"), F.col("t.city_col"))["raw"]).alias("ville"),
         F.posexplode(axes).alias("axis_ord", "a"),
     ).select(*TABLE, "row", "axis_ord", "ville", "a.axe", "a.valeur")
-    headers = with_layout(banded(cells), layout).filter(F.exists("tables", lambda t: (
+    headers = lambda some: with_layout(banded(some), layout).filter(F.exists("tables", lambda t: (
         F.col("row") == t["header_row"]) & F.array_contains(t["value_cols"], F.col("col")))).select(*SHEET, "row", "col")
-    footprint = headers.unionByName(kept.select(*SHEET, "row", F.explode(F.map_keys("cells")).alias("col")))
-    return Extraction(rows, faults, footprint)
+    return Extraction(rows, faults, lambda some: headers(some).unionByName(among(some, kept)))

@@ -70,8 +70,12 @@ def _stored(batches):
 def _files(spark, books):
     folder = f"{checkpoint_folder(spark).rstrip('/')}/packages-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else re.sub("^(file:)?/*", "file:///", folder)
-    placed = books.withColumn("folder", F.lit(folder))
-    return settle(placed.mapInPandas(_stored, "workbook string, path string"))
+    return store_files(books.withColumn("folder", F.lit(folder)))
+
+
+def store_files(books):
+    """(workbook, path) of packages (workbook, content, folder) written as files."""
+    return settle(books.mapInPandas(_stored, "workbook string, path string"))
 
 
 def ingest_streamed(spark, sf_dir):

@@ -78,7 +78,7 @@ def test_activity_context(spark):
     assert plain(first.montant_reference_mad) == 10 and plain(first.montant_comparaison_mad) == "NS"
     assert plain(first.variation_montant_pct) == 25 and first.dossiers_reference is not None or True
     assert kinds(result.issues) == []
-    seen = {(r.row, r.col) for r in result.footprint.collect()}
+    seen = {(r.row, r.col) for r in result.visits(cells).collect()}
     assert (1, 1) in seen and (7, 2) in seen and (8, 1) in seen and (12, 7) in seen
 
 
