@@ -74,6 +74,37 @@ def _hash_step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (h ^ (c + np.uint64(1))) * _BASE ^ (h >> np.uint64(29))
 
 
+class _Places:
+    """Numbers by 64-bit hash, in a table with open places."""
+
+    def __init__(self, hashes: np.ndarray, numbers: np.ndarray):
+        bits = max(4, int(len(hashes) * 3).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.hashes, self.numbers = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -2)
+        place, left = self._first(hashes), np.arange(len(hashes))
+        while len(left):
+            free = np.flatnonzero(self.numbers[place[left]] == -2)
+            _, one = np.unique(place[left[free]], return_index=True)
+            put = left[free[one]]
+            self.hashes[place[put]], self.numbers[place[put]] = hashes[put], numbers[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            place[left] = (place[left] + 1) & self.mask
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * _BASE) >> self.shift).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -2 for those that are not in the table."""
+        place = self._first(hashes)
+        out = self.numbers[place]
+        left = np.flatnonzero((self.hashes[place] != hashes) & (out != -2))
+        while len(left):
+            place[left] = (place[left] + 1) & self.mask
+            out[left] = self.numbers[place[left]]
+            left = left[(self.hashes[place[left]] != hashes[left]) & (out[left] != -2)]
+        return out
+
+
 class Lattices:
     """Filtered lattices of words. The entries of position i of a word are the pieces that end there, with the
     running sum of their probabilities."""
@@ -82,24 +113,27 @@ class Lattices:
         self.vocabulary = vocabulary
         # Every beginning of a piece, by its hash, with the piece that ends there or -1: substrings are grown
         # letter by letter as long as some piece begins like them.
-        beginnings: dict[int, int] = {}
-        for number, piece in enumerate(vocabulary.pieces):
-            h = np.zeros(1, np.uint64)
-            for c in piece:
-                h = _hash_step(h, np.array([ord(c)], np.uint64))
-                beginnings.setdefault(int(h[0]), -1)
-            beginnings[int(h[0])] = number
-        self.hashes = np.array(sorted(beginnings), np.uint64)
-        self.numbers = np.array([beginnings[int(h)] for h in self.hashes])
+        lengths = np.array([len(p) for p in vocabulary.pieces])
+        chars = np.zeros((len(lengths), int(lengths.max())), np.uint64)
+        chars[np.arange(chars.shape[1]) < lengths[:, None]] = np.frombuffer("".join(vocabulary.pieces).encode("utf-32-le"), np.uint32)
+        running, hashes, numbers = np.zeros(len(lengths), np.uint64), [], []
+        for k in range(chars.shape[1]):
+            running = _hash_step(running, chars[:, k])
+            hashes.append(running[lengths > k])
+            numbers.append(np.where(lengths == k + 1, np.arange(len(lengths)), -1)[lengths > k])
+        hashes, numbers = np.concatenate(hashes), np.concatenate(numbers)
+        order = np.lexsort((-numbers, hashes))
+        first = order[np.concatenate(([True], np.diff(hashes[order]) != 0))]  # a piece before a mere beginning
+        self.places = _Places(hashes[first], numbers[first])
         self.piece_ids, self.weights = np.array(vocabulary.ids), np.array(vocabulary.weights)
         self.byte_weight = min(vocabulary.weights) - 1.0
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.words = _Growing(np.int64, np.int64)  # first node and length of a word
+        self.words = _Growing(np.int64, np.int64, np.int64)  # first node, length and distance of nodes of a word
         self.nodes = _Growing(np.int64)  # first entry of a position
-        self.entries = _Growing(np.float64, np.int64, np.int64)  # running probability, length, piece or -1 - character
+        self.entries = _Growing(np.float64, np.int32, np.int32)  # running probability, length, piece or -1 - character
 
     def learn(self, words: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
@@ -118,51 +152,55 @@ class Lattices:
         at, running, hits = start % length, np.zeros(n * length, np.uint64), []
         for k in range(length):
             running = _hash_step(running, flat[start + k])
-            found = np.minimum(np.searchsorted(self.hashes, running), len(self.hashes) - 1)
-            on = self.hashes[found] == running
-            start, at, running, number = start[on], at[on], running[on], self.numbers[found[on]]
+            number = self.places.find(running)
+            on = number > -2
+            start, at, running, number = start[on], at[on], running[on], number[on]
             hit = number >= 0
             hits.append((start[hit] // length, at[hit] + k + 1, number[hit]))
             on = at + k + 1 < length
             start, at, running = start[on], at[on], running[on]
             if not len(start):
                 break
-        # weight and piece of the substring of each length that ends at each position
+        # weight and piece of the substring of each length that ends at each position; words lie next to each other
         reach = max(1, max((k + 1 for k, h in enumerate(hits) if len(h[0])), default=1))
-        weight = np.full((n, length + 1, reach), -np.inf)
-        piece = np.zeros((n, length + 1, reach), np.int64)
+        weight = np.full((length + 1, reach, n), -np.inf)
+        piece = np.zeros((length + 1, reach, n), np.int32)
         for k, (row, end, number) in enumerate(hits[:reach]):
-            weight[row, end, k], piece[row, end, k] = self.weights[number], self.piece_ids[number]
-        bare = ~np.isfinite(weight[:, 1:, 0])
-        size = 1 + (chars > 0x7F).astype(int) + (chars > 0x7FF) + (chars > 0xFFFF)
-        weight[:, 1:, 0] = np.where(bare, size * self.byte_weight, weight[:, 1:, 0])
-        piece[:, 1:, 0] = np.where(bare, -1 - chars.astype(np.int64), piece[:, 1:, 0])
-        total = np.zeros((n, length + 1))
-        chance = np.zeros((n, length + 1, reach))
+            weight[end, k, row], piece[end, k, row] = self.weights[number], self.piece_ids[number]
+        signs = chars.T.astype(np.int64)
+        bare = ~np.isfinite(weight[1:, 0])
+        size = 1 + (signs > 0x7F).astype(int) + (signs > 0x7FF) + (signs > 0xFFFF)
+        weight[1:, 0] = np.where(bare, size * self.byte_weight, weight[1:, 0])
+        piece[1:, 0] = np.where(bare, -1 - signs, piece[1:, 0])
+        total = np.zeros((length + 1, n))
+        chance = np.zeros((length + 1, reach, n))
         for i in range(1, length + 1):
             k = min(i, reach)
-            each = weight[:, i, :k] + total[:, i - k : i][:, ::-1]
-            top = each.max(1, keepdims=True)
+            each = weight[i, :k] + total[i - k : i][::-1]
+            top = each.max(0)
             p = np.exp(each - top)
-            s = p.sum(1, keepdims=True)
-            total[:, i] = (top + np.log(s))[:, 0]
-            chance[:, i, :k] = np.cumsum(p / s, axis=1)
-        on = np.isfinite(weight)
+            s = p.sum(0)
+            total[i] = top + np.log(s)
+            chance[i, :k] = np.cumsum(p / s, axis=0)
+        by_word = lambda x: x.transpose(0, 2, 1)
+        on = by_word(np.isfinite(weight))
         counts = on.sum(2)
-        first = self.entries.add(chance[on], np.broadcast_to(np.arange(1, reach + 1), on.shape)[on], piece[on])
+        sizes = np.broadcast_to(np.arange(1, reach + 1, dtype=np.int32), on.shape)
+        first = self.entries.add(by_word(chance)[on], sizes[on], by_word(piece)[on])
         node = self.nodes.add(first + np.cumsum(counts.ravel()) - counts.ravel())
-        self.words.add(node + np.arange(n) * (length + 1), np.full(n, length))
+        self.words.add(node + np.arange(n), np.full(n, length), np.full(n, n))
         self.index.update(zip(group, range(len(self.index), len(self.index) + n), strict=True))
 
     def sample(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A segmentation of each word drawn with its key: pieces in order, and the word each is of."""
-        node0, length = (x[word] for x in self.words.columns)
+        node0, length, step = (x[word] for x in self.words.columns)
         (first,), (chance, size, piece) = self.nodes.columns, self.entries.columns
         rows, at, found = np.arange(len(word)), length.copy(), []
         while len(rows):
             u = (mix(key[rows] + at[rows].astype(np.uint64) * _BASE) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-            entry = first[node0[rows] + at[rows]]
-            last = entry + self._degree(node0[rows] + at[rows]) - 1
+            node = node0[rows] + at[rows] * step[rows]
+            entry = first[node]
+            last = entry + self._degree(node) - 1
             low = np.flatnonzero((chance[entry] <= u) & (entry < last))
             while len(low):
                 entry[low] += 1

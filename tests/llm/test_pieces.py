@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from public_tokenizers import path
+from sentencepiece import SentencePieceProcessor
 
 from gridspark.llm import pieces
 from gridspark.llm.pieces import BLANK, Lattices, Vocabulary, decode, encode
@@ -63,6 +64,19 @@ def test_lossless_and_reproducible(spark):
 def test_query(spark):
     got = pieces.op2_sampled_pieces(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r.lossless and r.n_pieces == len(r.ids) for r in got)
+    # Decoded once more, by the model's own pieces.
+    model = SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+    spell = lambda i: bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(BLANK, " ").encode()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all(b"".join(map(spell, r.ids)).decode() == (texts[r.doc_id] or "") for r in got)
+
+
+def test_places_find_what_they_hold():
+    rng = np.random.default_rng(2)
+    hashes = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64))
+    held, others = hashes[::2], hashes[1::2]
+    places = pieces._Places(held, np.arange(len(held)) - 1)
+    assert (places.find(held) == np.arange(len(held)) - 1).all() and (places.find(others) == -2).all()
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None)]])
