@@ -437,3 +437,30 @@ def survivors(docs: DataFrame, report: DataFrame) -> DataFrame:
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: the component of each at a similarity of 0.85 on five-word shingles."""
     return near_duplicates(read(spark, sf_dir, "documents"), Run(spark, "op10")).drop("mark")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), t AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d
+), w AS (
+  SELECT doc_id, i, n, sha256(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) AS s FROM t
+), g AS (
+  SELECT DISTINCT doc_id, s FROM w WHERE i = 1 OR i + 4 <= n
+), c AS (
+  SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g AS a JOIN g AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN c AS p ON p.doc_id = x JOIN c AS q ON q.doc_id = y WHERE 100 * common >= 85 * (p.size + q.size - common)
+), reach AS (
+  SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), low AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low.y, d.doc_id) AS kept
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN low ON low.x = d.doc_id
+"""

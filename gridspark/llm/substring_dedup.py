@@ -261,3 +261,23 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: what is left of each when passages of 20 words seen earlier are removed."""
     kept = dedup_passages(read(spark, sf_dir, "documents"), Run(spark, "op7"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), t AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d
+), w AS (
+  SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS window_text FROM t
+), f AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY sha256(window_text) ORDER BY doc_id, i) > 1 AS again FROM w WHERE i + 19 <= n
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i, true AS gone FROM f WHERE again
+), k AS (
+  SELECT t.doc_id, count(*) AS n_words, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE gone IS NULL) AS kept
+  FROM t LEFT JOIN covered USING (doc_id, i) GROUP BY t.doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
