@@ -25,7 +25,7 @@ from gridspark.plans.penetration import extract_penetration
 from gridspark.plans.pivots import extract_concession, extract_pivot_staging
 from gridspark.plans.routing import Rules, check_rules, route_report, routing_issues, setting
 from gridspark.plans.variation import extract_variation
-from gridspark.sinks.reports import manifest, write_manifest, write_rejections
+from gridspark.sinks.reports import manifest_entries, write_manifest, write_rejections
 from gridspark.sinks.snapshots import read_snapshot, snapshot, write_snapshot
 from gridspark.sinks.tables import write_lines, write_tables
 from gridspark.sources.pivots import page_filters
@@ -151,7 +151,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, rules: Rules,
             write_tables(rows, mine, list(fixed.HEADERS[name]), list(TABLES[name].order), path, separator, bom)
     write_rejections(all_issues, f"{output}/rejections")
     finished = datetime.now(timezone.utc).isoformat()
-    write_manifest(manifest(verdicts, all_issues, started, finished), f"{output}/manifests")
     read = sheets.select("workbook").unionByName(broken.select("workbook"))
+    parsers = {name: table.extract.__name__ for name, table in TABLES.items()}
+    write_manifest(manifest_entries(placed, read, all_issues, parsers, started, finished), f"{output}/manifests")
     write_snapshot(snapshot(placed, read, output, None if previous is None else read_snapshot(spark, previous)), output)
     return verdicts

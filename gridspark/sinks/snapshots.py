@@ -20,9 +20,8 @@ SNAPSHOT = ("workbook string, sheet string, workbook_slug string, sheet_slug str
             "rows bigint, run string")
 _REASONS = "array<struct<kind:string,message:string,count:bigint,first_row:bigint>>"
 REJECTION = f"workbook string, sheet string, reasons {_REASONS}"
-_ENTRY = f"struct<ordinal:int,sheet:string,family:string,status:string,rows:bigint,errors:{_REASONS},warnings:{_REASONS}>"
-MANIFEST = ("workbook string, part bigint, started_at string, finished_at string, "
-            f"sheets array<{_ENTRY}>, success_count bigint, rejected_count bigint")
+MANIFEST = ("workbook string, sheet string, ordinal int, family string, parser string, status string, rows bigint, output string, "
+            f"errors {_REASONS}, warnings {_REASONS}, started_at string, finished_at string, success_count bigint, rejected_count bigint")
 
 
 def snapshot(judged: DataFrame, workbooks: DataFrame, run: str, previous: DataFrame | None = None) -> DataFrame:
@@ -88,7 +87,7 @@ def current_rejections(spark: SparkSession, output: str) -> DataFrame | None:
 
 
 def current_manifests(spark: SparkSession, output: str) -> DataFrame | None:
-    """The manifest of every workbook, from the last run that read it."""
+    """The manifest entries of every workbook, from the last run that read it."""
     mine = read_snapshot(spark, output).where("sheet is null")
     return _from_runs(mine, lambda run, entries: spark.read.schema(MANIFEST).json(f"{run}/manifests").join(
         entries.select("workbook"), "workbook", "left_semi"))

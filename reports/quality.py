@@ -9,6 +9,7 @@ from gridspark.functions.numeric import to_measure
 from gridspark.model import SHEET
 from gridspark.plans import checks as C
 from gridspark.plans.details import extract_details
+from gridspark.sinks import reports
 from gridspark.sinks.reports import manifest, rejections
 from gridspark.sinks.tables import published
 from reports.families import flat_grid
@@ -229,6 +230,25 @@ FROM v JOIN t ON t.workbook = v.workbook GROUP BY ALL
 """
 
 
+def manifest_entries(spark, sf_dir):
+    """One entry per sheet with the counts of its workbook, whatever the number of sheets."""
+    _, customer, counts, issues = _judged(spark, sf_dir)
+    judged = C.verdict(customer, counts, issues).withColumn("table", F.lit("details"))
+    extra = judged.select(F.lit("unread.xlsx").alias("workbook")).distinct()
+    entries = reports.manifest_entries(judged, judged.select("workbook").unionByName(extra), issues, {"details": "extract_details"}, "t0", "t1")
+    return entries.select("workbook", "sheet", "ordinal", "parser", "status", "rows", "output", "success_count", "rejected_count", "finished_at")
+
+
+_ENTRIES_SQL = _FACTS + """
+, t AS (SELECT workbook, count_if(status = 'success') AS success_count, count_if(status = 'rejected') AS rejected_count FROM v GROUP BY 1)
+SELECT v.workbook, v.sheet, CAST(c_custkey AS INTEGER) AS ordinal, 'extract_details' AS parser, status, rows,
+  CASE WHEN rows > 0 OR status = 'success' THEN 'tables/details/status=' || status || '/workbook_slug='
+    || replace(replace(v.workbook, '.xlsx', ''), ' ', '_') || '/sheet_slug=' || v.sheet ELSE 'rejections' END AS output,
+  success_count, rejected_count, 't1' AS finished_at FROM v JOIN t ON t.workbook = v.workbook
+UNION ALL SELECT 'unread.xlsx', NULL, NULL, NULL, NULL, NULL, NULL, 0, 0, 't1'
+"""
+
+
 def published_text(spark, sf_dir):
     """Rows as written to the delimited files, with their folders."""
     orders, customer, counts, issues = _judged(spark, sf_dir)
@@ -266,5 +286,5 @@ REPORTS = {
     "audit": (audit, _AUDIT_SQL), "verdict": (verdict, _FACTS + "SELECT workbook, sheet, status, rows FROM v"),
     "apply_policy": (apply_policy, _FACTS + "SELECT sheet, o_orderkey FROM orders JOIN v ON c_custkey = o_custkey WHERE status = 'success'"),
     "rejection_report": (rejection_report, _REJECTED_SQL), "manifest": (run_manifest, _MANIFEST_SQL),
-    "published_text": (published_text, _PUBLISHED_SQL),
+    "published_text": (published_text, _PUBLISHED_SQL), "manifest_entries": (manifest_entries, _ENTRIES_SQL),
 }

@@ -118,8 +118,10 @@ def test_batch(spark, folder, tmp_path):
     files = list(Path(tmp_path / "out/tables").rglob("status=success/workbook_slug=suivi_2026/sheet_slug=details/part=0/*.txt"))
     text = files[0].read_text(encoding="utf-8")
     assert text == "﻿marque;nombre;ville;mois;annee;source\nDacia <&>;2.5;Fès;4;2026;src\nDacia <&>;3.5;Fès;4;2026;src\n".replace("﻿", chr(0xFEFF))
-    manifest = json.loads(next(Path(tmp_path / "out/manifests").rglob("*.json")).read_text(encoding="utf-8"))
-    assert (manifest["success_count"], manifest["rejected_count"]) == (1, 1)
+    entries = [json.loads(x) for p in Path(tmp_path / "out/manifests").rglob("*.json") for x in p.read_text(encoding="utf-8").splitlines()]
+    assert {(e["success_count"], e["rejected_count"], e["parser"]) for e in entries} == {(1, 1, "extract_details")}
+    assert {e["sheet"]: (e["rows"], e["output"]) for e in entries} == {
+        "Détails": (2, "tables/details/status=success/workbook_slug=suivi_2026/sheet_slug=details"), "Types": (0, "rejections")}
     rejected = json.loads(next(Path(tmp_path / "out/rejections").rglob("*.json")).read_text(encoding="utf-8"))
     assert rejected["sheet"] == "Types" and {r["kind"] for r in rejected["reasons"]} >= {"error_value"}
 
