@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridspark.functions.coords import a1_col
 from gridspark.functions.text import canonical_text
 from gridspark.model import SHEET
+from gridspark.operators.settling import settle
 from gridspark.sources.workbooks import XML_OPTIONS, named_sheets, relationships
 
 _PIVOT = (
@@ -57,7 +58,7 @@ def page_filters(parts: DataFrame) -> DataFrame:
     Visible means not hidden, not the default entry, and pointing to a shared item with a value.
     When pivots of a sheet share leftmost column and field, the last one counts.
     """
-    rels = relationships(parts)
+    rels = settle(relationships(parts))
     is_pivot = F.endswith("type", F.lit("/pivotTable"))
     sheets = named_sheets(parts).select(*SHEET, F.col("part").alias("source"))
     on_sheet = sheets.join(rels.filter(is_pivot), ["workbook", "source"]).select(
@@ -66,9 +67,11 @@ def page_filters(parts: DataFrame) -> DataFrame:
         rels.filter(~is_pivot).groupBy("workbook", F.col("source").alias("pivot"))
         .agg(F.min_by("target", "rel_ord").alias("cache"))
     )
-    parsed = parts.select("workbook", F.col("part").alias("pivot"), F.from_xml("xml", _PIVOT, XML_OPTIONS).alias("p"))
+    # Only the parts that are pivots of a sheet are parsed as such.
+    texts = parts.select("workbook", F.col("part").alias("pivot"), F.col("xml").alias("pivot_xml"))
     pages = (
-        on_sheet.join(parsed, ["workbook", "pivot"]).join(cache_of, ["workbook", "pivot"])
+        on_sheet.join(texts, ["workbook", "pivot"]).join(cache_of, ["workbook", "pivot"])
+        .withColumn("p", F.from_xml("pivot_xml", _PIVOT, XML_OPTIONS))
         .filter(F.col("p.location._ref").isNotNull())
         .select(
             *SHEET, "rel_ord", "cache", a1_col(F.split("p.location._ref", ":")[0]).alias("min_col"),

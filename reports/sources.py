@@ -44,12 +44,8 @@ SELECT DISTINCT 'orders ' || (o_orderkey // 1000) || s AS workbook, 1 AS filled
 _NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 
 
-def pack_pivot(key, frame):
-    """A workbook with one pivot whose page field has the priorities of its orders, those of status P hidden."""
-    import pandas as pd
-
-    names = sorted(set(frame["o_orderpriority"]))
-    hidden = set(frame.loc[frame["o_orderstatus"] == "P", "o_orderpriority"])
+def pivot_package(names, hidden):
+    """A workbook with one pivot whose page field has these items, some of them hidden."""
     items = "".join(f'<item x="{i}"{" h=" + chr(34) + "1" + chr(34) if n in hidden else ""}/>' for i, n in enumerate(names))
     shared = "".join(f'<s v="{n} &amp; co"/>' for n in names)
     extra = {
@@ -60,14 +56,26 @@ def pack_pivot(key, frame):
         "xl/pivotCache/pivotCacheDefinition1.xml": f'<pivotCacheDefinition {_NS}><cacheFields><cacheField name="Ville"/><cacheField name="Priorité">'
                                                    f"<sharedItems>{shared}</sharedItems></cacheField></cacheFields></pivotCacheDefinition>",
     }
-    content = pack({"Pivot": sheet_xml([])}, [], extra=extra)
-    return pd.DataFrame([[f"client {int(key[0])}.xlsx", content]], columns=["workbook", "content"])
+    return pack({"Pivot": sheet_xml([])}, [], extra=extra)
+
+
+def pack_pivots(batches):
+    """Workbooks whose page field has the priorities of a customer's orders, those of status P hidden."""
+    import pandas as pd
+
+    for batch in batches:
+        rows = batch.itertuples(index=False, name=None)
+        yield pd.DataFrame([(f"client {int(book)}.xlsx", pivot_package(sorted(names), set(hidden))) for book, names, hidden in rows],
+                           columns=["workbook", "content"])
 
 
 def pivot_filters(spark, sf_dir):
     """The items that the page filters of many workbooks show."""
     orders = table(spark, sf_dir, "orders").withColumn("book", F.col("o_custkey"))
-    books = orders.groupBy("book").applyInPandas(pack_pivot, "workbook string, content binary")
+    names = orders.groupBy("book").agg(
+        F.collect_set("o_orderpriority").alias("names"),
+        F.collect_set(F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))).alias("hidden"))
+    books = names.mapInPandas(pack_pivots, "workbook string, content binary")
     return page_filters(settle(unzip(books)))
 
 
