@@ -8,8 +8,10 @@ from pyspark.sql import Column, functions as F
 def col_index(letters: Column) -> Column:
     """``A`` is 1, ``XFD`` is 16384; NULL for anything but letters."""
     upper = F.upper(F.trim(letters))
-    digits = F.split(upper, "")
-    number = F.aggregate(digits, F.lit(0), lambda acc, x: acc * 26 + F.ascii(x) - 64)
+    # Cell by cell, so without a lambda, which is not compiled: the letters from the last one backward.
+    value = lambda i: F.ascii(F.substring(upper, -i, 1)) - 64
+    size = F.length(upper)
+    number = value(1) + F.when(size > 1, 26 * value(2)).otherwise(0) + F.when(size > 2, 676 * value(3)).otherwise(0)
     return F.when(upper.rlike("^[A-Z]{1,3}$"), number)
 
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridspark.functions.binding import let
 from gridspark.functions.coords import a1_col, a1_row
 from gridspark.functions.numeric import plain_notation
 from gridspark.model import SHEET
@@ -144,15 +145,34 @@ def _chunks(stream, kind: str) -> Iterator[tuple[int, bytes, bytes, bytes]]:
         data = data[cut:]
 
 
+#: Rows of PARTS that leave a task together: a frame of its own for each would cost more than to unzip it.
+_FRAME_ROWS, _FRAME_CHARS = 2000, CHUNK_BYTES
+
+
+def _frames(rows: Iterator[list]) -> Iterator[pd.DataFrame]:
+    """Frames of PARTS rows, small ones together, a large one alone."""
+    columns, held, size = [c.split()[0] for c in PARTS.split(", ")], [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(text) for text in row[4:8] if text is not None)
+        if len(held) >= _FRAME_ROWS or size >= _FRAME_CHARS:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in PARTS.split(", ")]
-    for batch in batches:
-        for workbook, content in zip(batch["workbook"], batch["content"]):
-            try:
-                for part in _parts_of(workbook, content):
-                    yield pd.DataFrame([[*part, None]], columns=columns)
-            except _FAULTS as fault:
-                yield pd.DataFrame([[workbook, "", 0, 0, None, None, None, None, f"{type(fault).__name__}: {fault}"]], columns=columns)
+    def rows() -> Iterator[list]:
+        for batch in batches:
+            for workbook, content in zip(batch["workbook"], batch["content"]):
+                try:
+                    for part in _parts_of(workbook, content):
+                        yield [*part, None]
+                except _FAULTS as fault:
+                    yield [workbook, "", 0, 0, None, None, None, None, f"{type(fault).__name__}: {fault}"]
+
+    yield from _frames(rows())
 
 
 def _parts_of(workbook: str, content: bytes) -> Iterator[list]:
@@ -213,18 +233,20 @@ def _list_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _read_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in PARTS.split(", ")]
-    for batch in batches:
-        for workbook, path, part, _, fault in batch.itertuples(index=False, name=None):
-            if fault is None:
-                try:
-                    with _opened(path) as file, zipfile.ZipFile(file) as archive:
-                        for row in _rows_of_part(workbook, archive, part):
-                            yield pd.DataFrame([[*row, None]], columns=columns)
-                except _FAULTS as found:
-                    fault = f"{type(found).__name__}: {found}"
-            if fault is not None:
-                yield pd.DataFrame([[workbook, part, 0, 0, None, None, None, None, fault]], columns=columns)
+    def rows() -> Iterator[list]:
+        for batch in batches:
+            for workbook, path, part, _, fault in batch.itertuples(index=False, name=None):
+                if fault is None:
+                    try:
+                        with _opened(path) as file, zipfile.ZipFile(file) as archive:
+                            for row in _rows_of_part(workbook, archive, part):
+                                yield [*row, None]
+                    except _FAULTS as found:
+                        fault = f"{type(found).__name__}: {found}"
+                if fault is not None:
+                    yield [workbook, part, 0, 0, None, None, None, None, fault]
+
+    yield from _frames(rows())
 
 
 #: Bytes of unzipped parts that a task reads, about.
@@ -291,21 +313,25 @@ def relationships(parts: DataFrame) -> DataFrame:
 def _named_sheets(book: Column, rels: Column) -> Column:
     """ARRAY<STRUCT<ordinal, sheet, state, part>> from the workbook part and its relationships."""
     parsed = F.from_xml(book, _BOOK, XML_OPTIONS)["sheets"]["sheet"]
-    links = F.from_xml(rels, _RELS, XML_OPTIONS)["Relationship"]
-    target = lambda s: F.get(F.filter(links, lambda r: r["_Id"] == s["_id"]), F.lit(0))["_Target"]
-    return F.transform(parsed, lambda s, i: F.struct(
+    target = lambda links, s: F.get(F.filter(links, lambda r: r["_Id"] == s["_id"]), F.lit(0))["_Target"]
+    # The relationships are parsed once, not for every sheet.
+    return let(F.from_xml(rels, _RELS, XML_OPTIONS)["Relationship"], lambda links: F.transform(parsed, lambda s, i: F.struct(
         i.alias("ordinal"), s["_name"].alias("sheet"), F.coalesce(s["_state"], F.lit("visible")).alias("state"),
-        resolve_target(F.lit("xl/workbook.xml"), target(s)).alias("part")))
+        resolve_target(F.lit("xl/workbook.xml"), target(links, s)).alias("part"))))
 
 
 def _formats(styles: Column) -> Column:
     """ARRAY of number formats by cell style."""
-    parsed = F.from_xml(styles, _STYLES, XML_OPTIONS)
-    custom = F.coalesce(parsed["numFmts"]["numFmt"], F.array().cast("array<struct<_numFmtId:int,_formatCode:string>>"))
     builtin = F.from_json(F.lit(json.dumps(BUILTIN_FORMATS)), "map<string,string>")
-    return F.transform(parsed["cellXfs"]["xf"], lambda xf: F.coalesce(
-        F.get(F.filter(custom, lambda f: f["_numFmtId"] == xf["_numFmtId"]), F.lit(0))["_formatCode"],
-        F.element_at(builtin, xf["_numFmtId"].cast("string")), F.lit("General")))
+
+    def named(parsed: Column) -> Column:
+        custom = F.coalesce(parsed["numFmts"]["numFmt"], F.array().cast("array<struct<_numFmtId:int,_formatCode:string>>"))
+        return F.transform(parsed["cellXfs"]["xf"], lambda xf: F.coalesce(
+            F.get(F.filter(custom, lambda f: f["_numFmtId"] == xf["_numFmtId"]), F.lit(0))["_formatCode"],
+            F.element_at(builtin, xf["_numFmtId"].cast("string")), F.lit("General")))
+
+    # The part is parsed once, not for every style.
+    return let(F.from_xml(styles, _STYLES, XML_OPTIONS), named)
 
 
 def is_date_format(number_format: Column) -> Column:
@@ -362,10 +388,13 @@ def checked_cells_of(parts: DataFrame) -> DataFrame:
     wrong = F.concat(F.lit("malformed XML in "), F.col("part"), F.lit(", chunk "), F.col("chunk").cast("string"))
     # A malformed chunk is one row with one empty cell.
     empty = F.from_json(F.lit('[{"c":[{}]}]'), f"array<struct<_r:bigint,c:array<{_CELL}>>>")
-    parsed = _sheet_chunks(parts).withColumn("rows", rows).withColumn("fault", F.when(F.col(f"rows.{_CORRUPT}").isNotNull(), wrong))
+    # All that a chunk's small parts say is read here, once a chunk; below the lines it would be read for every line.
+    parsed = _sheet_chunks(parts).withColumns({
+        "rows": rows, "date1904": F.coalesce(date1904, F.lit(False)),
+        "formats": F.transform(_formats(F.col("styles_xml")), lambda f: F.struct(f.alias("text"), is_date_format(f).alias("dated"))),
+    }).withColumn("fault", F.when(F.col(f"rows.{_CORRUPT}").isNotNull(), wrong))
     lines = parsed.select(
-        *SHEET, "items_before", F.coalesce(date1904, F.lit(False)).alias("date1904"),
-        _formats(F.col("styles_xml")).alias("formats"), "fault",
+        *SHEET, "items_before", "date1904", "formats", "fault",
         F.posexplode(F.when(F.col("fault").isNotNull(), empty).otherwise(F.col("rows.sheetData.row"))).alias("row_pos", "line"))
     found = lines.select(
         *SHEET, "date1904", "formats", "fault",
@@ -377,14 +406,15 @@ def checked_cells_of(parts: DataFrame) -> DataFrame:
         _rich(F.col("c.is")).alias("inline"),
         # A follower of a shared formula has an empty element; it is a formula cell all the same.
         F.when(F.col("c.f").isNotNull(), F.coalesce("c.f._VALUE", F.lit(""))).alias("formula"),
-        F.coalesce(F.get("formats", F.coalesce("c._s", F.lit(0))), F.lit("General")).alias("number_format"), "date1904",
+        F.get("formats", F.coalesce("c._s", F.lit(0))).alias("format"), "date1904",
         # Cells without a shared string get spread keys that match nothing.
         F.when(kind == "s", v.try_cast("bigint")).otherwise(-1 - F.pmod(F.xxhash64("row", "c._r"), F.lit(1 << 20)))
         .alias("idx"))
-    joined = typed.join(shared_strings(parts), ["workbook", "idx"], "left")
+    joined = typed.join(shared_strings(parts), ["workbook", "idx"], "left").withColumns({
+        "number_format": F.coalesce("format.text", F.lit("General")), "dated": F.coalesce("format.dated", F.lit(False))})
 
     number = F.col("v").try_cast("double")
-    as_date = (F.col("t") == "n") & is_date_format(F.col("number_format")) & number.isNotNull()
+    as_date = (F.col("t") == "n") & F.col("dated") & number.isNotNull()
     # The 1900 calendar counts a 29 February that never was.
     days = number + F.when(~F.col("date1904") & (number > 0) & (number < 60), 1).otherwise(0)
     epoch = F.when(F.col("date1904"), F.lit("1904-01-01")).otherwise(F.lit("1899-12-30")).cast("timestamp_ntz")
@@ -430,7 +460,8 @@ def read_sheets_of(parts: DataFrame, cells: DataFrame) -> DataFrame:
 
 def read_merged_of(parts: DataFrame) -> DataFrame:
     """``merged`` of all sheets; a single cell counts as a range."""
-    refs = _sheet_chunks(parts).select(
+    # Merges stand in the chunk after the rows; no other is parsed for them.
+    refs = _sheet_chunks(parts.filter(F.contains("xml", F.lit("mergeCell")))).select(
         *SHEET, F.explode(F.from_xml("xml", _MERGES, XML_OPTIONS)["mergeCells"]["mergeCell"]).alias("m"))
     return refs.select(*SHEET, *range_edges(F.col("m._ref")))
 

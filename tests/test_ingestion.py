@@ -167,3 +167,20 @@ def test_malformed_strings_are_a_fault(spark, tmp_path):
     (tmp_path / "a.xlsx").write_bytes(pack({"Good": flat_sheet()}, ["<si><t>open</si>", *list(STRINGS)[1:]], {}))
     found = W.ingest_parts(W.unzip(W.discover(spark, str(tmp_path))))
     assert [(r.workbook, r.sheet) for r in found.faults.collect()] == [("a.xlsx", "")]
+
+
+def test_small_parts_leave_a_task_together():
+    import pandas as pd
+
+    book = pack({"Types": typed_sheet()}, STRINGS, extra=pivot_parts())
+    frames = list(W._unzip(iter([pd.DataFrame([[f"{i}.xlsx", book] for i in range(50)] + [["bad.xlsx", b"no"]], columns=["workbook", "content"])])))
+    assert len(frames) == 1
+    assert frames[0].groupby("workbook").size().nunique() == 2 and list(frames[0].loc[frames[0]["fault"].notna(), "workbook"]) == ["bad.xlsx"]
+
+
+def test_small_parts_are_parsed_once_a_chunk(spark, folder):
+    """Below the lines of a chunk, not above them, where they would be parsed for every line."""
+    cells = W.checked_cells_of(W.unzip(W.discover(spark, str(folder))))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    lines = next(i for i, line in enumerate(plan) if "Generate" in line and "row_pos" in line)
+    assert min(i for i, line in enumerate(plan) if "numFmts" in line or "styles_xml" in line) > lines
