@@ -88,3 +88,10 @@ def test_snapshots_of_runs(spark, tmp_path):
     manifests = {r.workbook: (r.success_count, r.rejected_count) for r in snapshots.current_manifests(spark, out[1]).collect()}
     assert manifests["one.xlsx"] == (1, 1) and manifests["two.xlsx"] == (0, 1)
     assert "package" in {r.kind for r in snapshots.current_issues(spark, out[0]).collect()}
+
+
+def test_positions_are_kept_as_columns_in_files(spark):
+    rows = spark.range(100).selectExpr("id % 3 AS k", "-id AS o", "CAST(id AS string) AS line")
+    got = positioned(rows, ["k"], ["o"], "n", keep=["k", "line"])
+    assert got.columns == ["k", "line", "n"] and all(f.endswith(".parquet") for f in got.inputFiles()) and got.inputFiles()
+    assert {r.line: r.n for r in got.where("k = 0").collect()} == {str(i): (99 - i) // 3 + 1 for i in range(0, 100, 3)}
