@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import dates as D, numeric as N, text as T
 from gridspark.operators import grid as G
 from gridspark.operators.banding import BAND_ROWS, attach, band, contiguous_prefix, running
-from gridspark.plans import checks as C
+from gridspark.plans import checks as C, competitor
 from gridspark.plans.routing import flatten, rules_from_mappings, check_rules
 from gridspark.sinks.tables import read_tables, write_tables
 from tests.layout import grid, sheets_of
@@ -150,3 +150,23 @@ def test_published_places():
     from gridspark.sinks.tables import decimal_places
 
     assert [decimal_places(n) for n in ("evolution_pct", "dossiers_reference", "montant_mad", "dossiers_pct", "valeur", "ecart_points")] == [1, 0, 0, 1, None, 1]
+
+
+def test_slugs_fold_once(spark):
+    texts = ["Été à Fès", "ﬁn ½ Œuvre", "plain Text 1", "", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", T.slugify(F.col("t")).alias("s"))
+    assert [r.s for r in sorted(got.collect())] == ["ete_a_fes", "fin_1_2_uvre", "plain_text_1", "", None]
+    # Once for texts with characters that become several, once for the others; none where all is ASCII.
+    assert got._jdf.queryExecution().analyzed().toString().count("translate(") == 2
+
+
+def test_lines_without_values_do_not_meet_the_market(spark, monkeypatch):
+    seen = []
+    whole = competitor.propagate_market
+    monkeypatch.setattr(competitor, "propagate_market", lambda df, *a, **k: seen.append(df) or whole(df, *a, **k))
+    rows = [("m", 3, None), ("a", 1, 1), ("b", 2, None), ("c", 4, 2)]
+    df = spark.createDataFrame([("w", "s", 0, "x", "y", k, "m", r, v) for k, r, v in rows],
+                               "workbook string, sheet string, band int, section string, categorie string, canonical string, market_key string, row bigint, v int")
+    got = competitor._with_market(df, ("v",)).collect()
+    assert sorted((r.canonical, r.v, r.marche_v, r.has_market) for r in got) == [("a", 1, None, True), ("c", 2, None, True)]
+    assert seen[0].count() == 3
