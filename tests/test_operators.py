@@ -155,7 +155,7 @@ def test_published_places():
 def test_slugs_fold_once(spark):
     texts = ["Été à Fès", "ﬁn ½ Œuvre", "plain Text 1", "", None]
     got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", T.slugify(F.col("t")).alias("s"))
-    assert [r.s for r in sorted(got.collect())] == ["ete_a_fes", "fin_1_2_uvre", "plain_text_1", "", None]
+    assert [r.s for r in sorted(got.collect())] == ["ete_a_fes", "fin_12_uvre", "plain_text_1", "", None]
     # Once for texts with characters that become several, once for the others; none where all is ASCII.
     assert got._jdf.queryExecution().analyzed().toString().count("translate(") == 2
 
