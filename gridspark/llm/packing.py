@@ -39,7 +39,7 @@ QUEUE_SHARE = 1 / 1024
 _UNIT = 1 << 16  # quanta are counted in this part of a token
 #: Control characters that are blanks to some and signs to others.
 _TAME = frozenset(map(chr, [*range(9), *range(14, 32), 127]))
-_SLICE_BYTES = 6 << 20
+_SLICE_BYTES = 2 << 20  # of text a step: the arrays over its words take some thirty times that
 _KNOWN_WORDS = 500_000  # words whose ids a worker remembers
 
 

@@ -1,7 +1,9 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from tokenizers import Tokenizer
@@ -149,3 +151,14 @@ def test_agreement_of_one_half_does_no_harm(monkeypatch):
     texts = ["the quick brown fox jumps over the lazy dog 12345", "never the same word twice"]
     ids, counts = coder.encode(texts)
     assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_tokens_are_made_in_small_steps(monkeypatch):
+    """A step takes 2 MB of text at most, or one row: the arrays over its words are many times larger."""
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    text = "one two three " * 50_000  # 700 kB
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(8)], "text": [text] * 8, "queue": pa.array([0] * 8, pa.int32())})
+    with open(FILE) as file:
+        steps = [*packing._tokenize(file.read())(iter([batch]))]
+    assert [s.num_rows for s in steps] == [2, 2, 2, 2]
+    assert [n for s in steps for n in s.column("doc_tokens").to_pylist()] == [150_001] * 8
