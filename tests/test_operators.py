@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import dates as D, numeric as N, text as T
 from gridspark.operators import grid as G
 from gridspark.operators.banding import BAND_ROWS, attach, band, contiguous_prefix, running
+from gridspark.operators.blocks import discover_blocks
 from gridspark.plans import checks as C, competitor
 from gridspark.plans.routing import flatten, rules_from_mappings, check_rules
 from gridspark.sinks.tables import read_tables, write_tables
@@ -170,3 +171,15 @@ def test_lines_without_values_do_not_meet_the_market(spark, monkeypatch):
     got = competitor._with_market(df, ("v",)).collect()
     assert sorted((r.canonical, r.v, r.marche_v, r.has_market) for r in got) == [("a", 1, None, True), ("c", 2, None, True)]
     assert seen[0].count() == 3
+
+
+def test_discover_blocks_reads_the_cells_once(spark):
+    """Blocks are found before they are numbered, so the cells are not searched again for each pass of the numbering."""
+    rows = [("w", "s", r, c, raw, raw) for r, c, raw in [
+        (1, 1, "X"), (2, 1, "A"), (2, 2, "h"), (2, 3, "i"), (2, 5, "A"), (2, 6, "j"), (3, 1, "B"), (3, 2, "k"),
+        (BAND_ROWS + 7, 4, "A"), (BAND_ROWS + 7, 5, "l"), (BAND_ROWS + 8, 1, "A"), (BAND_ROWS + 9, 1, ""), (BAND_ROWS + 9, 2, "A")]]
+    cells = spark.createDataFrame(rows, "workbook string, sheet string, row bigint, col int, raw string, key string").withColumn("band", band("row"))
+    found = discover_blocks(cells, F.col("key") == "A")
+    got = [(r.header_row, r.label_col, r.last_col, [h.raw for h in r.headers], r.block_index) for r in found.orderBy("block_index").collect()]
+    assert got == [(2, 1, 3, ["h", "i"], 1), (2, 5, 6, ["j"], 2), (BAND_ROWS + 7, 4, 5, ["l"], 3)]
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
