@@ -1,6 +1,7 @@
 """Banded operators against plain Python on groups that span many bands, and small helpers."""
 
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -183,3 +184,47 @@ def test_discover_blocks_reads_the_cells_once(spark):
     got = [(r.header_row, r.label_col, r.last_col, [h.raw for h in r.headers], r.block_index) for r in found.orderBy("block_index").collect()]
     assert got == [(2, 1, 3, ["h", "i"], 1), (2, 5, 6, ["j"], 2), (BAND_ROWS + 7, 4, 5, ["l"], 3)]
     assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dates_are_found_by_one_pattern(spark):
+    texts = {"Situation mars 2026 et avril 2025": "2026-03-31", "mars 20 avril./- 2025": "2025-04-30", "xmars 2026": None, "mars 2026x": None, "Février\n2024": "2024-02-29",
+             "déc\u00a02031": "2031-12-31", "mai \u0085 2020": None, "mai \u00852020": "2020-05-31", "mai, 2020": None, "": None, "mar 2o26": None, "MARS2026": None}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", D.reporting_date_text(F.col("t")).cast("string").alias("d"))
+    assert {r.t: r.d for r in got.collect()} == texts
+    # No list of words, and of a text without accents no folding.
+    assert "regexp_extract_all" not in got._jdf.queryExecution().analyzed().toString()
+    short = spark.createDataFrame([("Mar-26",), ("mar-2026",), ("mar-202",), ("juin/20",), ("",), (None,)], "t string")
+    assert [r[0] for r in short.select(D.parse_period(F.col("t"))).collect()] == ["2026-03", "2026-03", None, "2020-06", "", ""]
+
+
+def test_years_of_a_title_are_read_once(spark):
+    from gridspark import fixed
+    from gridspark.plans.activity import activity_layout, report_years
+    from tests.layout import routed_for
+
+    cells = grid(spark, {"A1": "mars 2026 contre", "B1": "2025", "A2": "2024"})
+    layout = activity_layout(routed_for(spark, cells, fixed.ACTIVITY, {"limits": {"first_row": 1, "last_row": 9, "first_column": 1, "last_column": 9}}))
+    known = report_years(G.head(G.sheet_rows(cells, layout), layout, F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))))
+    shown = known.select("sheet", "annee_reference", "annee_comparaison")
+    assert [(r[1], r[2]) for r in shown.collect()] == [(2026, 2025)]
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 1
+
+
+def test_simple_numbers_are_read_as_they_stand(spark):
+    texts = {"12.5": "12.5", "+5": "5", "-0012.50": "-12.5", "5\n": "5", "5\u0085": "5", "1 234,5": "1234.5", "5.": "5", ".5": "0.5", "1_0": "10", "NS": None, "5\nx": None,
+             "1234567890123": None, "": None}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", N.to_number(F.col("t"), F.lit("n")).alias("n"))
+    assert {r.t: r.n for r in got.collect()} == {t: None if n is None else Decimal(n) for t, n in texts.items()}
+    # A number without spaces or commas is neither stripped nor translated first.
+    assert r"^[+-]?\d{1,12}" in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_merged_headers_sort_no_cells(spark):
+    cells = grid(spark, {"B2": " Total\u00a0net ", "E2": "  ", "B3": "x"})
+    merged = spark.createDataFrame([("book.xlsx", "S", 2, 2, 2, 4), ("book.xlsx", "S", 2, 2, 5, 6), ("book.xlsx", "S", 3, 4, 2, 4)],
+                                   "workbook string, sheet string, min_row bigint, max_row bigint, min_col int, max_col int")
+    rows = spark.createDataFrame([("book.xlsx", "S", 2, 1, 9)], "workbook string, sheet string, row bigint, first_column int, last_column int")
+    found = G.merged_headers(cells, merged, rows)
+    assert sorted((r.row, r.label, r.col) for r in found.collect()) == [(2, "Total net", c) for c in (2, 3, 4)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "shuffle_hash" in plan and plan.index("AS label") < plan.index("Join")
