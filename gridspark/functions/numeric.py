@@ -14,6 +14,9 @@ _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 # Numbers whose decimals hold them whole, also after x100 and /1000: twelve integer digits, eighteen decimals.
 _ORDINARY = r"^[+-]?(?=\.?\d)0*\d{0,12}(?:\.\d{0,18}0*)?$"
 
+# What most numeric cells hold: an ordinary number that needs neither stripping nor other signs.
+_SIMPLE = r"^[+-]?\d{1,12}(?:\.\d{1,18})?\z"
+
 # One scan over a section of a number format, literals taken whole: a placeholder, a comma, and then the end or a sign
 # that is neither a placeholder nor a separator.
 _LITERAL = f"(?:{'|'.join(FORMAT_LITERALS)})"
@@ -38,7 +41,7 @@ def to_number(raw: Column, kind: Column | None = None) -> Column:
     decimal does not hold; :func:`to_digits` has those."""
     plain = _plain(raw)
     # The pattern spares a failing cast, whose exception is dear, for every text cell.
-    num = F.when(plain.rlike(_ORDINARY), plain.try_cast(NUM_TYPE))
+    num = F.when(raw.rlike(_SIMPLE), raw.try_cast(NUM_TYPE)).when(plain.rlike(_ORDINARY), plain.try_cast(NUM_TYPE))
     if kind is not None:
         truth = F.when(F.lower(raw) == "true", 1).when(F.lower(raw) == "false", 0)
         num = F.when(kind == "b", truth.cast(NUM_TYPE)).otherwise(num)
@@ -53,7 +56,7 @@ def to_digits(raw: Column, kind: Column | None = None) -> Column:
 def _long(raw: Column, kind: Column | None, body: Callable[[Column], Column]) -> Column:
     """``body`` of the digits of a long number, NULL for all else."""
     # Only texts of a certain look are tried: a dozen signs and more after a digit, or an exponent.
-    tried = raw.rlike(r"\d.{11}|\.\d+\d{18}|\d\.?[eE][+-]?\d")
+    tried = ~raw.rlike(_SIMPLE) & raw.rlike(r"\d.{11}|\.\d+\d{18}|\d\.?[eE][+-]?\d")
     if kind is not None:
         tried = tried & ~F.coalesce(kind == "b", F.lit(False))
     return F.when(tried, let(_plain(raw), lambda p: F.when(
