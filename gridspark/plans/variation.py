@@ -74,6 +74,8 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
         .select(*SHEET, F.col("t.table_ord").alias("table_ord"), "band", "row", "cells", "t", "aligned",
                 F.col("t.data_start_row").alias("start"))
     )
+    # Read once for each kind of table, and twice by the look for gaps.
+    lines = settle(lines)
     # Tables that skip empty rows need no look at their neighbours.
     stopping = contiguous_prefix(lines.filter("not t.skip_empty"), TABLE, "row", F.col("start"))
     kept = union_all([stopping, lines.filter("t.skip_empty")])
@@ -89,9 +91,8 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
         F.struct(F.lit("Variation").alias("axe"), two_decimals(measure_of(change)).alias("valeur")),
     )
     rows = kept.select(
-        *TABLE, "row", clean_text(at(F.col("cells"), F.col("t.city_col"))["raw"]).alias("ville"),
-        F.posexplode(axes).alias("axis_ord", "a"),
-    ).select(*TABLE, "row", "axis_ord", "ville", "a.axe", "a.valeur")
+        *TABLE, "row", clean_text(at(F.col("cells"), F.col("t.city_col"))["raw"]).alias("ville"), axes.alias("axes"),
+    ).select(*TABLE, "row", "ville", F.posexplode("axes").alias("axis_ord", "a")).select(*TABLE, "row", "axis_ord", "ville", "a.axe", "a.valeur")
     headers = lambda some: with_layout(banded(some), layout).filter(F.exists("tables", lambda t: (
         F.col("row") == t["header_row"]) & F.array_contains(t["value_cols"], F.col("col")))).select(*SHEET, "row", "col")
     return Extraction(rows, faults, lambda some: headers(some).unionByName(among(some, kept)))

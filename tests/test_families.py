@@ -378,3 +378,18 @@ def test_settings_faults_reject(spark):
     assert found(fixed.SUMMARY, extract_summary, label_column=None) == ["no label column is configured"]
     assert found(fixed.SUMMARY, extract_summary, category_blocks={"VEHICULES": ["E", "F"]}) == ["a category block must have 3 columns"]
     assert found(fixed.QUARTERLY, extract_quarterly, sections=None) == ["no sections are configured"]
+
+
+def test_tables_and_labels_are_read_once(spark):
+    april, march = datetime(2026, 4, 1), datetime(2026, 3, 1)
+    cells = grid(spark, {"C3": april, "D3": march, "K3": march, "L3": april, "B4": "Fès", "C4": 1, "J4": "Salé", "K4": 2})
+    rows = extract_variation(cells, routed_for(spark, cells, fixed.VARIATION, VARIATION)).rows
+    # The layouts met the records before; only the look for gaps joins.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    grid_ = grid(spark, {"A1": "Mars 2026", "E11": "V", "B16": "Marché", "E16": 5})
+    merged = spark.createDataFrame([("book.xlsx", "S", 11, 11, 5, 6)], MERGED)
+    structure = {"layout": "staging", "limits": {"first_row": 9, "last_row": 90, "first_column": 2, "last_column": 20},
+                 **{k: v for k, v in SUMMARY.items() if k != "category_blocks"}}
+    plan = extract_staging(grid_, routed_for(spark, grid_, fixed.SUMMARY, structure), merged).rows._jdf.queryExecution().optimizedPlan().toString()
+    # The row's label is judged below the generator of the columns.
+    assert plan.index("Generate") < plan.index("AS row_type")
