@@ -197,9 +197,11 @@ def merged_headers(cells: DataFrame, merged: DataFrame, rows: DataFrame) -> Data
         .join(rows, [*SHEET, "row"])
         .filter((F.col("min_col") >= F.col("first_column")) & (F.col("max_col") <= F.col("last_column")))
     )
-    labels = cells.select(*SHEET, "row", F.col("col").alias("min_col"), clean_text(F.col("raw")).alias("label"))
+    filled = cells.filter(not_empty(F.col("raw"))).select(*SHEET, "row", F.col("col").alias("min_col"), "raw")
+    # Merges are few beside cells: their places are hashed, so no cell is sorted, and only cells met are cleaned.
     return (
-        spans.join(labels.filter(F.col("label") != ""), [*SHEET, "row", "min_col"])
+        filled.join(spans.hint("shuffle_hash"), [*SHEET, "row", "min_col"])
+        .withColumn("label", clean_text(F.col("raw"))).filter(F.col("label") != "")
         .select(*SHEET, "row", "label", F.explode(F.sequence("min_col", "max_col")).alias("col"))
     )
 
