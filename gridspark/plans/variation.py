@@ -44,7 +44,7 @@ def extract_variation(cells: DataFrame, routed: DataFrame) -> Extraction:
     columns = lambda t: F.concat(F.array(t["city_col"], t["variation_col"]), t["value_cols"])
     data = F.exists("tables", lambda t: F.col("row").between(t["data_start_row"], t["data_end_row"])
                     & F.array_contains(columns(t), F.col("col")))
-    records = sheet_rows(cells, layout, data | F.array_contains(head_rows, F.col("row")))
+    records = sheet_rows(cells, layout, data, head_rows)
 
     known = head(records, layout, head_rows).withColumn("tables", F.transform("tables", lambda t: F.struct(
         t["table_ord"].alias("table_ord"), t["data_start_row"].alias("data_start_row"),

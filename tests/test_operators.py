@@ -1,6 +1,7 @@
 """Banded operators against plain Python on groups that span many bands, and small helpers."""
 
 import random
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -228,3 +229,70 @@ def test_merged_headers_sort_no_cells(spark):
     assert sorted((r.row, r.label, r.col) for r in found.collect()) == [(2, "Total net", c) for c in (2, 3, 4)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "shuffle_hash" in plan and plan.index("AS label") < plan.index("Join")
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+    return {b for b in blocks if b.startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    from gridspark.operators import settling
+
+    before = shuffle_files(spark)
+    counted = numbers(spark, sample()).groupBy("k", "v").count()
+    kept = [keep(counted) for keep in (settling.settle, settling.stored)]
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    wanted = sorted(map(tuple, counted.collect()), key=str)
+    assert all(sorted(map(tuple, k.collect()), key=str) == wanted for k in kept)
+
+
+def test_settings_of_a_step_end_with_it(spark):
+    from gridspark.operators import settling
+
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65000")
+    try:
+        with settling.step(spark):
+            assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65000"
+        assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg") == "false"
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
+def test_head_rows_are_marked_where_cells_meet_their_sheet(spark):
+    cells = grid(spark, {"A1": "title", "B3": "1", "C3": "x", "B9": "out", f"B{BAND_ROWS + 5}": "2"})
+    layout = cells.groupBy(*G.SHEET).agg(F.max("row").alias("last_row"))
+    heads = F.array(F.lit(1).cast("bigint"), F.lit(3).cast("bigint"))
+    rows = G.sheet_rows(cells, layout, F.col("row") > BAND_ROWS, heads)
+    assert {r.row: (r.is_head, sorted(r.cells)) for r in rows.collect()} == {1: (True, [1]), 3: (True, [2, 3]), BAND_ROWS + 5: (False, [2])}
+    # As files they can be read by columns; cells of a line are gathered in one go.
+    assert rows.inputFiles() and all(f.endswith(".parquet") for f in rows.inputFiles())
+    assert [sorted(r.head) for r in G.head(rows, layout, heads).collect()] == [[1, 3]]
+
+
+def test_market_is_sought_among_market_rows_alone(spark):
+    rows = [("a", 1, "m", "x"), ("a", 2, "o", "y"), ("a", BAND_ROWS + 1, "m", "z"), ("a", 3 * BAND_ROWS, "o", None), ("b", 1, "o", "w"), ("b", 2, None, "v"), (None, 1, "o", "u")]
+    df = numbers(spark, rows, "k string, row bigint, what string, v string")
+    got = G.propagate_market(df, ["k"], F.col("what") == "m", ["v"])
+    assert sorted((r.k, r.row, r.marche_v, r.has_market) for r in got.collect()) == [
+        ("a", 2, "z", True), ("a", 3 * BAND_ROWS, "z", True), ("b", 1, None, False), ("b", 2, None, False)]
+    # No window over the bands of a group, and no aggregate of the other rows' values.
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_slots_without_a_value_are_dropped_before_they_are_read(spark):
+    from gridspark.functions.numeric import parsed_cell
+
+    cells = grid(spark, {"A2": "Un", "B2": "1", "C2": "  ", "D2": "12345678901234567890", "A3": "Marché"})
+    layout = cells.groupBy(*G.SHEET).agg(F.max("row").alias("last_row")).selectExpr(
+        "workbook", "sheet", "last_row", "1 AS label_column", "'MARCHE' AS market_key", "'PART' AS share_key",
+        "array(named_struct('section', 'S', 'section_ord', 0, 'data_start_row', 1, 'data_end_row', 9)) AS sections",
+        "array(named_struct('category_ord', 0, 'categorie', 'b', 'columns', array(2)), named_struct('category_ord', 1, 'categorie', 'c', 'columns', array(3)), "
+        "named_struct('category_ord', 2, 'categorie', 'd', 'columns', array(4))) AS slots")
+    records = G.banded(cells).groupBy(*G.ROW).agg(F.map_from_entries(F.collect_list(F.struct("col", parsed_cell()))).alias("cells"))
+    lines = competitor._market_lines(records, layout, 1)
+    assert sorted((r.row, r.categorie) for r in lines.collect()) == [(2, "b"), (2, "d"), (3, "b"), (3, "c"), (3, "d")]
