@@ -316,19 +316,22 @@ FLAGS = ("A", "N", "R")
 def staging_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A sheet per part: quantities and prices by line number, below a merged header per return
     flag; lines without a sale stay blank."""
-    facts = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linenumber", "l_returnflag").agg(
-        F.sum(money("l_quantity")).alias("q"), F.sum(money("l_extendedprice")).alias("p"))
+    facts = stored(table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linenumber", "l_returnflag").agg(
+        F.sum(money("l_quantity")).alias("q"), F.sum(money("l_extendedprice")).alias("p")))
     sheet = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     row = 15 + F.col("l_linenumber")
     first = F.when(F.col("l_returnflag") == "A", 5).when(F.col("l_returnflag") == "N", 8).otherwise(11)
-    data = lay(facts, "staging.xlsx", sheet, [
-        text(row, "B", F.concat(F.lit("line "), F.col("l_linenumber").cast("string"))),
-        spot(row, first, F.col("q"), number_format="0"), spot(row, first + 1, F.col("p"), number_format="#,##0,")])
+    # Labels stand once for all flags, and flags may share a column: what makes a cell is distinct before it is laid out.
+    place = facts.withColumn("first", first)
+    data = union_all([lay(place.select("l_partkey", "l_linenumber", *some).distinct(), "staging.xlsx", sheet, [cell]) for some, cell in (
+        ([], text(row, "B", F.concat(F.lit("line "), F.col("l_linenumber").cast("string")))),
+        (["first", "q"], spot(row, F.col("first"), F.col("q"), number_format="0")),
+        (["first", "p"], spot(row, F.col("first") + 1, F.col("p"), number_format="#,##0,")))])
     heads = [text(2, "B", "Mars 2026"), text(23, "B", "Marché"), text(11, "Y", "beyond")]
     for i, f in enumerate(FLAGS):
         heads += [text(11, 5 + 3 * i, f"flag {f} "), dated(13, 5 + 3 * i, "2026-03-01"), text(13, 6 + 3 * i, "prix")]
     sheets = facts.select(F.lit("staging.xlsx").alias("workbook"), sheet.alias("sheet")).distinct()
-    cells = settle(data.unionByName(lay(sheets, "staging.xlsx", F.col("sheet"), heads)).distinct())
+    cells = stored(data.unionByName(lay(sheets, "staging.xlsx", F.col("sheet"), heads)))
     ranges = F.array(*[
         F.struct(F.lit(11).cast("bigint").alias("min_row"), F.lit(11).cast("bigint").alias("max_row"),
                  F.lit(a).alias("min_col"), F.lit(b).alias("max_col"))
